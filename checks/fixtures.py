@@ -204,13 +204,16 @@ class Star:
         k = F.get_json_object("props", "$.k").cast("int")
         return self.raw("events").select(
             F.col("event_id").alias("transaction_sk"),
-            F.col("user_id").alias("customer_sk"),
+            (F.col("user_id") * 2).alias("customer_sk"),
+            k.cast("long").alias("product_sk"),
+            (F.col("value").cast(MONEY) * 10).cast(MONEY).alias("balance_after"),
             date_key(F.to_date("ts")).alias("date_key"),
             F.col("ts").alias("created_at"),
             F.col("value").cast(MONEY).alias("amount"),
             F.col("event_type").alias("merchant_category"),
             _mapped("event_type", EVENT_TYPES).alias("transaction_type"),
             F.when(k < 25, "Online").when(k < 50, "Mobile").when(k < 75, "ATM").otherwise("Branch").alias("channel"),
+            F.when(F.col("value") < 100, "Purchase").otherwise("Deposit").alias("transaction_category"),
             (k < 5).alias("is_fraudulent"),
         )
 

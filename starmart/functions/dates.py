@@ -49,8 +49,8 @@ def fiscal_year(date: Column, first_month: int = 4) -> Column:
 
 
 def completed_years(birth: Column, at: Column) -> Column:
-    """Whole years between two dates."""
-    return F.floor(F.months_between(at, birth) / 12).cast("int")
+    """Whole years between two dates, cut towards zero."""
+    return (F.months_between(at, birth) / 12).cast("int")
 
 
 def elapsed_days(since: Column, at: Column) -> Column:

@@ -206,14 +206,14 @@ def _escape(message: str) -> str:
 
 
 def _counted_row(check_type: str, column: str, counted: DataFrame, detail: str) -> DataFrame:
-    n = F.col("violations")
+    n = F.col("violations").cast("long")
     return counted.select(
         F.lit(check_type).alias("check_type"),
         F.lit(column).alias("columns"),
-        (n == 0),
-        n.cast("long"),
-        F.format_string(MESSAGES[check_type], F.lit(column), n.cast("long")),
-        _details(**{detail: n}),
+        (n == 0).alias("passed"),
+        n.alias("violations"),
+        F.format_string(MESSAGES[check_type], F.lit(column), n).alias("message"),
+        _details(**{detail: n}).alias("details"),
     )
 
 
