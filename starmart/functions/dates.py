@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, functions as F
 
@@ -67,25 +68,34 @@ def tenure_months(opened: Column, at: Column) -> Column:
     return F.datediff(at, opened) / F.lit(30.0)
 
 
-#: Strptime directives and the datetime pattern letters that parse the same text.
+# --- fixed values: strptime directives and the datetime pattern letters that parse the same text -----------
 STRPTIME_PATTERNS = {
-    "%Y": "y", "%y": "yy", "%m": "M", "%d": "d", "%H": "H", "%I": "h", "%M": "m", "%S": "s", "%p": "a",
+    "%Y": "yyyy", "%y": "yy", "%m": "M", "%d": "d", "%H": "H", "%I": "h", "%M": "m", "%S": "s", "%p": "a",
     "%f": "SSSSSS", "%j": "D", "%b": "MMM", "%B": "MMMM", "%a": "EEE", "%A": "EEEE", "%%": "%",
 }
+#: One-letter patterns take one or two digits; next to another number they must have a fixed width.
+FIXED_WIDTH = {"M": "MM", "d": "dd", "H": "HH", "h": "hh", "m": "mm", "s": "ss", "D": "DDD"}
+# ----------------------------------------------------------------------------------------------------------
+
+_TOKEN = re.compile("(%.)|([^%]+)|(%$)")
+_NUMERIC = set("yMdHhmsSD")
 
 
 def spark_datetime_pattern(strptime_format: str) -> str:
     """Translate a strptime format into a Spark datetime pattern."""
-    out, i = [], 0
-    while i < len(strptime_format):
-        token = strptime_format[i : i + 2]
-        if token in STRPTIME_PATTERNS:
-            out.append(STRPTIME_PATTERNS[token])
-            i += 2
-        elif strptime_format[i] == "%":
-            raise ValueError(f"unsupported directive {token!r} in {strptime_format!r}")
-        else:
-            ch = strptime_format[i]
-            out.append(f"'{ch}'" if ch.isalpha() else "''" if ch == "'" else ch)
-            i += 1
-    return "".join(out)
+    parts: list[str] = []
+    numeric: list[bool] = []
+    for directive, literal, dangling in _TOKEN.findall(strptime_format):
+        if dangling or (directive and directive not in STRPTIME_PATTERNS):
+            raise ValueError(f"unsupported directive {directive or dangling!r} in {strptime_format!r}")
+        parts.append(STRPTIME_PATTERNS[directive] if directive else _quoted(literal))
+        numeric.append(bool(directive) and len(parts[-1]) != 3 and parts[-1][0] in _NUMERIC and parts[-1] != "MMMM")
+    for i, part in enumerate(parts):
+        touches = (i > 0 and numeric[i - 1]) or (i + 1 < len(parts) and numeric[i + 1])
+        if numeric[i] and touches:
+            parts[i] = FIXED_WIDTH.get(part, part)
+    return "".join(parts)
+
+
+def _quoted(literal: str) -> str:
+    return re.sub("[A-Za-z]+", lambda m: f"'{m.group()}'", literal.replace("'", "''"))

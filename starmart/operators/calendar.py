@@ -1,4 +1,4 @@
-"""Calendar dimension. One row per day, so at most 401,768 rows over the usable key range."""
+"""Calendar dimension. One row per day, so at most 401,767 rows over the usable key range."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from starmart.functions import dates as D
 
 #: Days between the smallest and largest usable date key: the proven size bound of every calendar.
-MAX_CALENDAR_DAYS = 401_768
+MAX_CALENDAR_DAYS = 401_767
 
 _FIRST_DAY, _LAST_DAY = "1900-01-01", "2999-12-31"
 
@@ -26,7 +26,9 @@ def days_spanned(df: DataFrame, date_column: str | Column) -> DataFrame:
 
 
 def _explode_days(bounds: DataFrame) -> DataFrame:
-    return bounds.where("lo <= hi").select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("full_date"))
+    # "greatest" keeps the sequence legal where the optimizer evaluates it ahead of the filter.
+    days = F.sequence("lo", F.greatest("lo", "hi"), F.expr("interval 1 day"))
+    return bounds.where("lo <= hi").select(F.explode(days).alias("full_date"))
 
 
 def calendar_full(days: DataFrame) -> DataFrame:

@@ -37,6 +37,16 @@ def distinct_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(*columns).distinct() if columns else df.distinct()
 
 
+def distinct_counts(df: DataFrame, by: str, counted: str, name: str) -> DataFrame:
+    """Distinct non-NULL values per key, on two columns alone.
+
+    A distinct count inside a wider aggregation makes Spark shuffle every aggregate once per (key, value) pair. Here
+    only the pairs are shuffled, and grouping by the pair spreads a key with a third of all rows over its values.
+    """
+    pairs = df.where(F.col(counted).isNotNull()).select(by, counted).distinct()
+    return pairs.groupBy(by).agg(F.count(F.lit(1)).alias(name))
+
+
 def latest_version(dim: DataFrame, natural_key: str = "customer_id", version: str = "version") -> DataFrame:
     """The newest version of each natural key, current or not."""
     return keep_last(dim, natural_key, version)

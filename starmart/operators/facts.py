@@ -106,16 +106,22 @@ def transform_transactions(
     return lookup_keys_strict(valid_dates(complete_rows(dated)), dim_customer, dim_product, counts)
 
 
-def absent_rows(batch: DataFrame, stored: DataFrame, key: str, dedup_batch: bool = False) -> DataFrame:
+def absent_rows(
+    batch: DataFrame, stored: DataFrame, key: str, dedup_batch: bool = False, fixed_columns: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet.
 
     The stored side is first cut to the keys of the batch with a semi join. A batch small enough for Spark to
     broadcast then filters the stored keys in their scan, and the large table is never shuffled; a larger batch
     meets it in a shuffled semi join on the key column alone. Copies of one key inside the batch all pass unless
     ``dedup_batch`` is set. A NULL key never counts as stored.
+
+    ``fixed_columns`` names columns that always have the same value for a key, such as the month of a transaction.
+    They join the key, and where the stored table is partitioned by them only the batch's partitions are read.
     """
-    known = stored.select(key).join(batch.select(key), key, "left_semi")
-    fresh = batch.join(known, key, "left_anti")
+    on = [key, *fixed_columns]
+    known = stored.select(*on).join(batch.select(*on), on, "left_semi")
+    fresh = batch.join(known, on, "left_anti")
     return fresh.dropDuplicates([key]) if dedup_batch else fresh
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starmart.functions import dates as D
 from starmart.functions.columns import mean_of, relative_change, with_numbers_or_zero
 from starmart.operators.calendar import with_full_date
+from starmart.operators.dedup import distinct_counts
 from starmart.operators.facts import current_customers
 
 # --- fixed values: default thresholds ---------------------------------------------------------------------
@@ -98,14 +99,13 @@ def churn_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFram
     """
     day = F.col("full_date")
     per_customer = (
-        with_full_date(facts.select("customer_sk", "date_key", "product_sk", "amount", "balance_after"), dim_date)
+        with_full_date(facts.select("customer_sk", "date_key", "amount", "balance_after"), dim_date)
         .groupBy("customer_sk")
         .agg(
             F.max(day).alias("last_transaction_date"),
             F.count(day).alias("lifetime_tx_count"),
             *lookback_counts(day, as_of, WINDOWS, "tx_count_last_"),
             *period_comparison(day, as_of),
-            F.countDistinct("product_sk").alias("product_count"),
         )
     )
     today = D.as_of_date(as_of)
@@ -114,6 +114,7 @@ def churn_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFram
         current_customers(dim_customer)
         .select("customer_sk", "customer_id", "income_bracket", "customer_segment", "account_open_date")
         .join(per_customer, "customer_sk", "left")
+        .join(distinct_counts(facts, "customer_sk", "product_sk", "product_count"), "customer_sk", "left")
         .select(
             "customer_sk", "customer_id", "income_bracket", "customer_segment",
             D.tenure_months(F.col("account_open_date"), today).alias("tenure_months"),

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starmart.functions import dates as D
 from starmart.functions.columns import mean_of, with_numbers_or_zero
 from starmart.operators.calendar import with_full_date
+from starmart.operators.dedup import distinct_counts
 from starmart.operators.facts import current_customers
 
 #: Channels that get a transaction count of their own. Fixed values.
@@ -27,7 +28,7 @@ def channel_counts() -> list[Column]:
 
 def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFrame, as_of=None) -> DataFrame:
     """Demographics, totals, spread, recency, holdings and channel use of every current customer."""
-    used = facts.select("customer_sk", "date_key", "product_sk", "transaction_type", "channel", "amount", "balance_after")
+    used = facts.select("customer_sk", "date_key", "transaction_type", "channel", "amount", "balance_after")
     per_customer = (
         with_full_date(used, dim_date)
         .groupBy("customer_sk")
@@ -37,11 +38,11 @@ def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataF
             mean_of(F.sum("amount"), F.count("amount")).alias("avg_transaction_amount"),
             F.stddev_samp(F.col("amount").cast("double")).alias("stddev_transaction_amount"),
             F.max("full_date").alias("last_transaction_date"),
-            F.countDistinct("product_sk").alias("product_count"),
             *channel_counts(),
             mean_of(F.sum("balance_after"), F.count("balance_after")).alias("avg_balance"),
         )
     )
+    held = distinct_counts(facts, "customer_sk", "product_sk", "product_count")
     today = D.as_of_date(as_of)
     described = ["customer_sk", "customer_id", "customer_name", "gender", "income_bracket", "customer_segment", "city",
                  "state", "account_open_date", "date_of_birth"]
@@ -49,6 +50,7 @@ def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataF
     features = (
         current_customers(dim_customer).select(*described)
         .join(per_customer, "customer_sk", "left")
+        .join(held, "customer_sk", "left")
         .select(
             *described,
             D.completed_years(F.col("date_of_birth"), today).alias("age"),
@@ -72,21 +74,21 @@ def customer_snapshot(dim_customer: DataFrame, facts: DataFrame, dim_date: DataF
     until = facts.where(F.col("date_key") <= D.date_key(at)).select(
         "customer_sk", "date_key", "product_sk", "amount", "balance_after"
     )
+    dated = with_full_date(until, dim_date, "inner").where(F.col("full_date") <= at)
     per_customer = (
-        with_full_date(until, dim_date, "inner").where(F.col("full_date") <= at)
-        .groupBy("customer_sk")
+        dated.groupBy("customer_sk")
         .agg(
             F.count(F.lit(1)).alias("total_transactions"),
             F.sum("amount").alias("total_amount"),
             mean_of(F.sum("amount"), F.count("amount")).alias("avg_transaction_amount"),
             F.max("balance_after").alias("account_balance"),
-            F.countDistinct("product_sk").alias("num_products"),
             F.max("full_date").alias("last_date"),
         )
     )
     snapshot = (
         current_customers(dim_customer).select("customer_sk")
         .join(per_customer, "customer_sk", "left")
+        .join(distinct_counts(dated, "customer_sk", "product_sk", "num_products"), "customer_sk", "left")
         .select(
             D.date_key(at).alias("date_key"),
             "customer_sk", "total_transactions", "total_amount", "avg_transaction_amount", "account_balance",

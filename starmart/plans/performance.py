@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.columns import mean_of, with_numbers_or_zero
 from starmart.operators.calendar import with_full_date
+from starmart.operators.dedup import distinct_counts
 from starmart.operators.facts import current_customers
 
 _MEASURES = ["transaction_count", "customer_count", "total_revenue", "avg_transaction_amount", "avg_balance"]
@@ -14,15 +15,14 @@ _MEASURES = ["transaction_count", "customer_count", "total_revenue", "avg_transa
 def product_performance(dim_product: DataFrame, facts: DataFrame, dim_date: DataFrame, ordered: bool = True) -> DataFrame:
     """Volume, revenue and reach of every active product, sold or not, best revenue first.
 
-    The distinct customers of a product are counted after grouping by (product, customer), so a product with a third
-    of all rows is spread by its customers.
+    Distinct customers are counted apart from the sums, on (product, customer) pairs that spread a product with a third
+    of all rows over its customers.
     """
     per_product = (
-        with_full_date(facts.select("product_sk", "customer_sk", "date_key", "amount", "balance_after"), dim_date)
+        with_full_date(facts.select("product_sk", "date_key", "amount", "balance_after"), dim_date)
         .groupBy("product_sk")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            F.countDistinct("customer_sk").alias("customer_count"),
             F.sum("amount").alias("total_revenue"),
             mean_of(F.sum("amount"), F.count("amount")).alias("avg_transaction_amount"),
             mean_of(F.sum("balance_after"), F.count("balance_after")).alias("avg_balance"),
@@ -31,7 +31,15 @@ def product_performance(dim_product: DataFrame, facts: DataFrame, dim_date: Data
         )
     )
     described = ["product_sk", "product_id", "product_name", "product_category", "product_type"]
-    out = dim_product.where("is_active").select(*described).join(per_product, "product_sk", "left")
+    reach = distinct_counts(facts, "product_sk", "customer_sk", "customer_count")
+    out = (
+        dim_product.where("is_active").select(*described)
+        .join(per_product, "product_sk", "left").join(reach, "product_sk", "left")
+        .select(
+            *described, "transaction_count", "customer_count", "total_revenue", "avg_transaction_amount", "avg_balance",
+            "first_transaction_date", "last_transaction_date",
+        )
+    )
     return with_numbers_or_zero(_best_first(out, ordered), _MEASURES)
 
 

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites recorded for every Column make building wide plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
