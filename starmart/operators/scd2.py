@@ -82,7 +82,8 @@ def apply_changes(dim: DataFrame, changes: DataFrame, as_of=None) -> DataFrame:
     """The whole dimension after a batch: history, unchanged current rows, expired rows, new versions.
 
     The replaced rows expire on the as-of day. History passes through without a shuffle; only current rows meet the
-    batch, and they keep their keys. New versions continue after the largest key.
+    batch, and they keep their keys. New versions continue after the largest key. Both inputs are read more than once:
+    store them first when they are expensive, and store the result before the next batch.
     """
     replaced = changes.where("version > 1").select(ID, F.lit(True).alias("_replaced"))
     history = dim.where("NOT is_current")

@@ -78,7 +78,7 @@ def cross_sell_features(
     sold = used.join(dim_product.select("product_sk", "product_category"), "product_sk")
 
     def spend(column: str, value: str, prefix: str) -> Column:
-        total = F.sum(F.when(F.col(column) == value, F.col("amount")).otherwise(0))
+        total = F.coalesce(F.sum(F.when(F.col(column) == value, F.col("amount")).otherwise(0)), F.lit(0))
         return total.alias(column_name(prefix, value))
 
     per_customer = sold.groupBy("customer_sk").agg(
