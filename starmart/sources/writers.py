@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import logging
+import re
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
-_VERSION_MARK = "__v"
+#: Tail of a written version: number, and a tag that no other run shares.
+_VERSION = re.compile("__v([0-9]+)_[0-9a-f]{8}$")
 
 
 def append_table(df: DataFrame, table: str, cluster_by: tuple[str, ...] = ()) -> None:
@@ -30,38 +33,45 @@ def _split(name: str) -> tuple[str | None, str]:
     return database or None, table
 
 
-def table_versions(spark: SparkSession, name: str) -> list[int]:
-    """Written versions of a published table, oldest first."""
+def _version_of(table: str) -> int | None:
+    found = _VERSION.search(table)
+    return int(found.group(1)) if found else None
+
+
+def _written_tables(spark: SparkSession, name: str) -> dict[str, int]:
+    """Tables written for a published name, with their version numbers."""
     database, table = _split(name)
-    prefix = table + _VERSION_MARK
-    tables = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{prefix}*'").collect()
-    tails = [row.tableName.removeprefix(prefix) for row in tables]
-    return sorted(int(t) for t in tails if t.isdigit())
+    prefix = f"{database}." if database else ""
+    found = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{table}__v*'").collect()
+    names = [row.tableName for row in found if _VERSION.sub("", row.tableName) == table]
+    return {prefix + n: _version_of(n) for n in names}
+
+
+def table_versions(spark: SparkSession, name: str) -> list[int]:
+    """Versions of a published table that are still stored, oldest first."""
+    return sorted(_written_tables(spark, name).values())
 
 
 def publish(df: DataFrame, name: str, skip_empty: bool = False, keep: int = 2) -> bool:
     """Replace ``name`` with the rows of ``df``, which may itself read ``name``.
 
-    The rows go to a new table and ``name`` is a view that is then switched to it in one catalog operation: a run
-    that fails midway leaves the previous contents readable, and a retry starts over on the same version number.
-    With ``skip_empty`` an empty result leaves the previous contents in place. Returns whether ``name`` changed.
+    The rows go to a new table and ``name`` is a view that is then switched to it in one catalog operation. A run that
+    fails midway leaves the previous contents readable; what it wrote is dropped by a later run. The last ``keep``
+    versions stay for readers that started before the switch. With ``skip_empty`` an empty result leaves the previous
+    contents in place. Returns whether ``name`` changed.
     """
     spark = df.sparkSession
-    versions = table_versions(spark, name)
-    live = _live_version(spark, name)
-    version = (live or 0) + 1
-    target = f"{name}{_VERSION_MARK}{version}"
-    if version in versions:  # left behind by a run that did not reach the switch
-        spark.sql(f"DROP TABLE {target}")
+    version = (_live_version(spark, name) or 0) + 1
+    target = f"{name}__v{version}_{uuid.uuid4().hex[:8]}"
     df.write.saveAsTable(target, format="parquet", mode="errorifexists")
     if skip_empty and spark.read.table(target).isEmpty():
         spark.sql(f"DROP TABLE {target}")
         log.warning("%s not replaced: the new result is empty", name)
         return False
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {target}")
-    for old in versions:
-        if old <= version - keep:
-            spark.sql(f"DROP TABLE IF EXISTS {name}{_VERSION_MARK}{old}")
+    for table, old in _written_tables(spark, name).items():
+        if old <= version - keep or (old == version and table != target):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
     return True
 
 
@@ -69,9 +79,10 @@ def _live_version(spark: SparkSession, name: str) -> int | None:
     if not spark.catalog.tableExists(name):
         return None
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").collect()
-    if not rows:
-        raise ValueError(f"{name} is a table of its own, not a published view")
-    return int(rows[0].data_type.strip().rpartition(_VERSION_MARK)[2].rstrip("`"))
+    version = _version_of(rows[0].data_type.strip().rstrip("`")) if rows else None
+    if version is None:
+        raise ValueError(f"{name} exists and is not a published view")
+    return version
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

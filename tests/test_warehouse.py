@@ -2,6 +2,7 @@ import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.operators.quality import QualityGateError
 from starmart.plans.warehouse import DEFAULT_CONFIG, Warehouse
@@ -67,6 +68,18 @@ def test_final_dates_prune_the_stored_months(warehouse, files):
     assert warehouse.table("fact_transactions").count() == 2
 
 
+def test_copies_inside_a_batch_get_keys_of_their_own(spark, warehouse, files):
+    """Copies of one id are all kept, as ids are compared with stored rows only; the option keeps one."""
+    warehouse.full_load(files["transactions"], files["customers"], files["products"])
+    batch = warehouse.table("fact_transactions").where("transaction_id = 'T1'").drop("transaction_sk").withColumn(
+        "transaction_id", F.lit("T50")).join(spark.range(200).select(F.lit("T50").alias("transaction_id")), "transaction_id")
+    warehouse.load_facts(batch.withColumn("transaction_id", F.lit("T60")), dedup_batch=True)
+    warehouse.load_facts(batch)
+    warehouse.load_facts(batch)
+    facts = warehouse.table("fact_transactions")
+    assert facts.count() == facts.select("transaction_sk").distinct().count() == 2 + 1 + 200
+
+
 def test_missing_files_load_nothing(warehouse, tmp_path):
     none = str(tmp_path / "none.csv")
     counts = warehouse.full_load(none, none, none)
