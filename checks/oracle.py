@@ -117,7 +117,7 @@ ev AS (
            CAST(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS INTEGER) AS k, props
     FROM events),
 ev_stats AS (
-    SELECT customer_sk, avg(CAST(amount AS DOUBLE)) AS mean_amount, stddev_samp(CAST(amount AS DOUBLE)) AS stddev_amount
+    SELECT customer_sk, CAST(sum(amount) AS DOUBLE) / count(amount) AS mean_amount, stddev_samp(CAST(amount AS DOUBLE)) AS stddev_amount
     FROM ev GROUP BY 1),
 ev_risk AS (
     SELECT merchant_category, avg(CASE WHEN k < 5 THEN 1.0 ELSE 0.0 END) AS fraud_rate FROM ev GROUP BY 1),
@@ -297,7 +297,7 @@ CREDIT_DEBIT = ", ".join(
     exact(f"sum(CASE WHEN transaction_type = '{k}' THEN amount ELSE 0 END)", f"total_{k.lower()}s") for k in ("Credit", "Debit")
 )
 add("agg_credit_debit", f"SELECT customer_sk, {CREDIT_DEBIT} FROM facts GROUP BY 1")
-add("agg_stddev", """SELECT customer_sk, round(avg(CAST(amount AS DOUBLE)), 4) AS mean_amount,
+add("agg_stddev", """SELECT customer_sk, CAST(sum(amount) AS DOUBLE) / count(amount) AS mean_amount,
     round(stddev_samp(CAST(amount AS DOUBLE)), 4) AS stddev_amount FROM facts GROUP BY 1""")
 
 

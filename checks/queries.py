@@ -34,6 +34,7 @@ def query(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
 #: Doubles that come from exact inputs by the same arithmetic in any engine; all others are rounded to 4 places.
 EXACT = {
     "avg_transaction_amount", "avg_balance", "mean", "avg_balance_last_30d", "avg_balance_prev_30d", "time_since_last_tx",
+    "mean_amount",
 }
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starmart.functions.columns import number_or_zero, ratio, zscore
+from starmart.functions.columns import mean_of, number_or_zero, ratio, zscore
 from starmart.functions.dates import elapsed_seconds
 from starmart.operators.calendar import with_full_date
 from starmart.operators.ordered import SLICE, SLICE_HOUR, in_slice, slices_before, with_time_slice
@@ -48,8 +48,10 @@ def hourly_velocity(facts: DataFrame) -> DataFrame:
 
 def amount_stats(facts: DataFrame) -> DataFrame:
     """Mean and sample standard deviation of the amounts per customer."""
-    amount = F.col("amount").cast("double")
-    return facts.groupBy(_KEY).agg(F.avg(amount).alias("mean_amount"), F.stddev_samp(amount).alias("stddev_amount"))
+    return facts.groupBy(_KEY).agg(
+        mean_of(F.sum("amount"), F.count("amount")).alias("mean_amount"),
+        F.stddev_samp(F.col("amount").cast("double")).alias("stddev_amount"),
+    )
 
 
 def _slice_statistics(sliced: DataFrame) -> DataFrame:
