@@ -66,7 +66,7 @@ def main(folder: str, names: list[str]) -> int:
             if name not in ORACLE:
                 print(f"-    {name} {got.num_rows} rows {spent:.1f}s (no SQL)", flush=True)
                 continue
-            problem = difference(got, con.execute(ORACLE[name]).to_arrow_table())
+            problem = difference(got, con.sql(ORACLE[name]).to_arrow_table())
         except Exception as error:
             problem, spent = str(error)[:1500], time.time() - start
         bad += problem is not None

@@ -27,4 +27,4 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query_matches_sql(spark, duck, name):
     got = entry_module.queries()[name](spark, FOLDER).toArrow()
-    assert difference(got, duck.execute(entry_module.oracle_sql()[name]).to_arrow_table()) is None
+    assert difference(got, duck.sql(entry_module.oracle_sql()[name]).to_arrow_table()) is None
