@@ -11,6 +11,7 @@ bounded by the number of ranges.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 #: Expected sampled keys per range.
 SAMPLES = 16
-#: Ranges per shard, and rows that a range should hold at most.
-RANGES_PER_SHARD, RANGE_ROWS = 64, 1_000_000
+#: Ranges per shard, and rows that a range should hold at least and at most on average.
+RANGES_PER_SHARD, LEAST_ROWS, MOST_ROWS = 64, 16, 1_000_000
 #: A range of more than so many times the mean size is subdivided.
 OVERFULL = 2.0
 _LEAST = -(1 << 63)
@@ -72,15 +73,11 @@ def find_splitters(rows: DataFrame, ranges: int, total: int, rounds: int = 8):
         full = {r: s for r, (s, n) in held.items() if s > OVERFULL * mean and n > 1}
         if not full:
             break
-        wanted = F.create_map(*(F.lit(x) for r in full for x in (r, True))) if len(full) < 100 else None
-        number = _range_number(splitters)
-        inside = rows.withColumn("range", number)
-        inside = inside.where(F.coalesce(wanted[F.col("range")], F.lit(False)) if wanted is not None else F.col("range").isin(list(full)))
+        inside = rows.where(_range_number(splitters).isin(list(full)))
         finer = step / 2 ** again
         keys: dict[int, list[tuple[int, int]]] = {}
-        bounds = [(k[0], k[1]) for k in splitters]
         for key in _sample(inside, finer, again):
-            keys.setdefault(_position(bounds, key), []).append(key)
+            keys.setdefault(bisect_right(splitters, key), []).append(key)
         more = set(splitters)
         for r, own in keys.items():
             more.update(_quantiles(own, 1 + int(np.ceil(full.get(r, mean) / mean)) * 2))
@@ -91,12 +88,6 @@ def find_splitters(rows: DataFrame, ranges: int, total: int, rounds: int = 8):
     return splitters, held
 
 
-def _position(splitters: list[tuple[int, int]], key: tuple[int, int]) -> int:
-    import bisect
-
-    return bisect.bisect_right(splitters, key)
-
-
 def shard(df: DataFrame, shards: int = 24, *, size: str = "size", major: str, minor: str) -> DataFrame:
     """`df` with `shard` (0 to shards - 1, near equal bytes) and `slot` (gapless from 0 inside the shard).
 
@@ -111,7 +102,7 @@ def shard(df: DataFrame, shards: int = 24, *, size: str = "size", major: str, mi
     )
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
     total = total or 0
-    ranges = max(RANGES_PER_SHARD * shards, -(-count // RANGE_ROWS))
+    ranges = max(1, min(RANGES_PER_SHARD * shards, count // LEAST_ROWS), count // MOST_ROWS)
     splitters, held = find_splitters(rows, ranges, total)
     lines, bytes_so_far, rows_so_far = [], 0, 0
     for r in range(len(splitters) + 1):
@@ -119,22 +110,18 @@ def shard(df: DataFrame, shards: int = 24, *, size: str = "size", major: str, mi
         lines.append((r, bytes_so_far, rows_so_far))
         bytes_so_far, rows_so_far = bytes_so_far + s, rows_so_far + n
     before = spark.createDataFrame(lines, "__range int, __bytes long, __rows long")
-    own = [c for c in df.columns]
-    keyed = df.select(
-        *own, F.coalesce(F.col(major), F.lit(_LEAST)).alias("major__"), F.coalesce(F.col(minor), F.lit(_LEAST)).alias("minor__"),
-        F.coalesce(F.col(size), F.lit(0)).cast("long").alias("size__"),
-    )
-    number = _range_number(splitters)
-    keyed = keyed.withColumnsRenamed({"major__": "major", "minor__": "minor"}) if not {"major", "minor"} & set(own) else keyed
-    if {"major", "minor"} & set(own):
-        raise ValueError("the table may not have columns named major or minor")
-    keyed = keyed.withColumn("__range", number)
-    order = Window.partitionBy("__range").orderBy("major", "minor", "size__")
+    own = df.columns
+    if clash := {"major", "minor", "shard", "slot"} & set(own):
+        raise ValueError(f"rename {sorted(clash)} first")
+    keyed = df.withColumns({
+        "major": F.coalesce(F.col(major), F.lit(_LEAST)), "minor": F.coalesce(F.col(minor), F.lit(_LEAST)),
+        "__size": F.coalesce(F.col(size), F.lit(0)).cast("long")}).withColumn("__range", _range_number(splitters))
+    order = Window.partitionBy("__range").orderBy("major", "minor", "__size")
     line = keyed.withColumn("__n", F.row_number().over(order)).withColumn(
-        "__cut", F.sum("size__").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        "__cut", F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     # bounded by the number of ranges, which find_splitters has already had in the driver
     line = line.join(F.broadcast(before), "__range")
-    place = F.floor((F.col("__bytes") + F.col("__cut") - F.col("size__") / 2) * F.lit(shards) / F.lit(max(1, total)))
+    place = F.floor((F.col("__bytes") + F.col("__cut") - F.col("__size") / 2) * F.lit(shards) / F.lit(max(1, total)))
     line = line.withColumn("shard", F.least(F.lit(shards - 1), F.greatest(F.lit(0), place)).cast("int"))
     line = line.withColumn("__index", F.col("__rows") + F.col("__n") - 1)
     first = line.groupBy("shard").agg(F.min("__index").alias("__first"))
