@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 SAMPLES = 16
 #: Ranges per shard, and rows that a range should hold at least and at most on average.
 RANGES_PER_SHARD, LEAST_ROWS, MOST_ROWS = 64, 16, 1_000_000
-#: A range of more than so many times the mean size is subdivided.
+#: A range of more than so many times the mean size, and of more rows than LEAST_ROWS, is subdivided.
 OVERFULL = 2.0
 _LEAST = -(1 << 63)
 
@@ -70,7 +70,7 @@ def find_splitters(rows: DataFrame, ranges: int, total: int, rounds: int = 8):
     held = _totals(rows, splitters)
     for again in range(1, rounds + 1):
         mean = total / max(1, ranges)
-        full = {r: s for r, (s, n) in held.items() if s > OVERFULL * mean and n > 1}
+        full = {r: s for r, (s, n) in held.items() if s > OVERFULL * mean and n > LEAST_ROWS}
         if not full:
             break
         inside = rows.where(_range_number(splitters).isin(list(full)))
