@@ -164,16 +164,15 @@ def _parts(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, radius: int = RADIUS, keep: list[str] = ()) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words): of each document and item the best window that reaches `percent`.
 
     Words are lower-cased by A to Z. An item of fewer than `shingle` words is one shingle of its own; items without words
     and NULL texts match nothing. A document shorter than an item is compared whole. Rows are taken one by one, so
-    repeated rows repeat their leaks. Of equal windows the first counts. `keep` names columns of `docs` to carry along.
+    repeated rows repeat their leaks. Of equal windows the first counts. Other columns are left out.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
-    schema = LEAKS + "".join(f", {c} {t}" for c, t in rows.dtypes if c in keep)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
     for items in _parts(benchmark):
         sent = spark.sparkContext.broadcast(items)  # at most PART_BYTES and one item
@@ -187,13 +186,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, shingle: int = SHINGLE,
                 picked = pa.array(at, pa.int64())
                 kinds = [pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(picked), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True)),
-                     *(batch.column(2 + j).take(picked) for j in range(len(keep)))],
-                    names=["doc_id", "item_id", "similarity", "first_word", "n_words", *keep])
+                    [batch.column(0).take(picked), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
+                    names=["doc_id", "item_id", "similarity", "first_word", "n_words"])
 
-        part = rows.mapInArrow(run, schema)
+        part = rows.mapInArrow(run, LEAKS)
         found = part if found is None else found.unionByName(part)
-    return spark.createDataFrame([], schema) if found is None else found
+    return spark.createDataFrame([], LEAKS) if found is None else found
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

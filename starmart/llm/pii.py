@@ -160,7 +160,7 @@ def all_spans(docs: DataFrame, protected: DataFrame, disclosing: DataFrame) -> D
     """`docs` with the base arrays and `term`, an array of (start, end, value, general) of disclosing terms.
 
     A term counts in the documents that hold a value it discloses, outside base spans. Each row is matched by its own
-    text and id, so repeated rows get the same spans. `docs` may not have columns named like the kinds.
+    text and id, so repeated rows get the same spans. Columns of `docs` that are named like a kind are replaced.
     """
     # of a document's disclosing terms; bounded by the document's own words
     own = protected.join(disclosing, "value").groupBy("doc_id", "hash").agg(F.collect_set(F.struct("term", "general")).alias("__terms"))
@@ -181,9 +181,14 @@ def all_spans(docs: DataFrame, protected: DataFrame, disclosing: DataFrame) -> D
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
-    """`docs` with the personal data of their texts masked and disclosing terms generalised or removed; NULL stays NULL."""
-    protected = protected_values(docs)
-    return sanitised(all_spans(docs, protected, disclosing_terms(docs, protected))).select(*docs.columns)
+    """`docs` with the personal data of their texts masked and disclosing terms generalised or removed.
+
+    All other columns stay as they are, whatever their names. A NULL text stays NULL; rows with a NULL id are masked too.
+    """
+    slim = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text")
+    protected = protected_values(slim)
+    done = sanitised(all_spans(slim, protected, disclosing_terms(slim, protected)))
+    return done.select(*(F.col("text") if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns))
 
 
 def span_list(kind: str) -> Column:

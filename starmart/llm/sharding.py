@@ -93,7 +93,7 @@ def shard(df: DataFrame, shards: int = 24, *, size: str = "size", major: str, mi
 
     `major` and `minor` are long columns; NULL sorts first. A row of any size stays whole, so shards differ by at most
     about one row's bytes from the mean. Rows of equal keys are interchangeable; they get distinct slots. `df` is read
-    several times: stage it if it is costly. An empty table gives an empty table.
+    several times: stage it if it is costly. Columns named shard and slot are replaced. An empty table gives an empty table.
     """
     spark = df.sparkSession
     rows = df.select(
@@ -109,24 +109,24 @@ def shard(df: DataFrame, shards: int = 24, *, size: str = "size", major: str, mi
         s, n = held.get(r, (0, 0))
         lines.append((r, bytes_so_far, rows_so_far))
         bytes_so_far, rows_so_far = bytes_so_far + s, rows_so_far + n
-    before = spark.createDataFrame(lines, "__range int, __bytes long, __rows long")
-    own = df.columns
-    if clash := {"major", "minor", "shard", "slot"} & set(own):
-        raise ValueError(f"rename {sorted(clash)} first")
-    keyed = df.withColumns({
-        "major": F.coalesce(F.col(major), F.lit(_LEAST)), "minor": F.coalesce(F.col(minor), F.lit(_LEAST)),
-        "__size": F.coalesce(F.col(size), F.lit(0)).cast("long")}).withColumn("__range", _range_number(splitters))
-    order = Window.partitionBy("__range").orderBy("major", "minor", "__size")
-    line = keyed.withColumn("__n", F.row_number().over(order)).withColumn(
-        "__cut", F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # bounded by the number of ranges, which find_splitters has already had in the driver
-    line = line.join(F.broadcast(before), "__range")
-    place = F.floor((F.col("__bytes") + F.col("__cut") - F.col("__size") / 2) * F.lit(shards) / F.lit(max(1, total)))
+    before = spark.createDataFrame(lines, "range int, bytes_before long, rows_before long")
+    # the row travels whole, so that its columns may have any names
+    keyed = df.select(
+        F.struct(*df.columns).alias("row"), F.coalesce(F.col(major), F.lit(_LEAST)).alias("major"),
+        F.coalesce(F.col(minor), F.lit(_LEAST)).alias("minor"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("size"))
+    keyed = keyed.withColumn("range", _range_number(splitters))
+    order = Window.partitionBy("range").orderBy("major", "minor", "size")
+    line = keyed.withColumn("n", F.row_number().over(order)).withColumn(
+        "cut", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # bounded by the number of ranges, whose totals find_splitters has had in the driver
+    line = line.join(F.broadcast(before), "range")
+    place = F.floor((F.col("bytes_before") + F.col("cut") - F.col("size") / 2) * F.lit(shards) / F.lit(max(1, total)))
     line = line.withColumn("shard", F.least(F.lit(shards - 1), F.greatest(F.lit(0), place)).cast("int"))
-    line = line.withColumn("__index", F.col("__rows") + F.col("__n") - 1)
-    first = line.groupBy("shard").agg(F.min("__index").alias("__first"))
+    line = line.withColumn("index", F.col("rows_before") + F.col("n") - 1)
+    first = line.groupBy("shard").agg(F.min("index").alias("first"))
+    own = [F.col("row")[c].alias(c) for c in df.columns if c not in ("shard", "slot")]
     # one row for each shard
-    return line.join(F.broadcast(first), "shard").select(*own, "shard", (F.col("__index") - F.col("__first")).alias("slot"))
+    return line.join(F.broadcast(first), "shard").select(*own, "shard", (F.col("index") - F.col("first")).alias("slot"))
 
 
 def keyed_sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -32,7 +32,10 @@ STATES = 300_000
 
 
 class Transducer:
-    """Piece counts of words for a best-pair-first vocabulary: `scores` by piece, the larger merged first."""
+    """Piece counts of words for a best-pair-first vocabulary: `scores` by piece, the larger merged first.
+
+    A piece must rank below the pieces it is merged from, as it does when the vocabulary was trained by merging.
+    """
 
     def __init__(self, scores: dict[str, float]):
         self.pieces = sorted(scores, key=lambda p: -scores[p])
@@ -82,6 +85,8 @@ class Transducer:
             text = self.pieces[piece]
             left, last = self.merge(list(text))
             self._made[piece] = None if len(left) > 1 else (self.rank[last[0]], self.rank[last[1]]) if last else (-1, -1)
+            if len(left) == 1 and last and any(len(p) > 1 and self.rank[p] > piece for p in last):
+                raise ValueError(f"{text!r} is merged before a part of it: the vocabulary does not come from merges")
         return self._made[piece]
 
     def apart(self, left: int, right: int) -> bool:
