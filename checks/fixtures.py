@@ -112,15 +112,6 @@ class Star:
             (F.col("p_size") <= 45).alias("is_active"),
         ))
 
-    @cached_property
-    def brands(self) -> DataFrame:
-        """The brands as products, for the operators on product pairs."""
-        return self.raw("part").select("p_brand").distinct().select(
-            brand_key().alias("product_sk"),
-            F.col("p_brand").alias("product_id"),
-            F.concat(F.lit("Product "), F.col("p_brand")).alias("product_name"),
-        )
-
     @cached_property
     def branches(self) -> DataFrame:
         nation, region = self.raw("nation"), self.raw("region")
@@ -165,13 +156,6 @@ class Star:
             )
         )
 
-    @cached_property
-    def brand_facts(self) -> DataFrame:
-        part = self.raw("part").select("p_partkey", brand_key().alias("brand_sk"))
-        return self.facts.join(part, F.col("product_sk") == F.col("p_partkey")).select(
-            "customer_sk", F.col("brand_sk").alias("product_sk")
-        )
-
     @cached_property
     def category_ownership(self) -> DataFrame:
         from starmart.operators.baskets import ownership
@@ -237,7 +221,3 @@ class Star:
         )
         new = self.business.select(*attributes).withColumn("seq", F.lit(1))
         return first.unionByName(again).unionByName(new)
-
-
-def brand_key() -> Column:
-    return F.regexp_extract("p_brand", "([0-9]+)", 1).cast("long")

@@ -77,17 +77,15 @@ facts AS (
                 WHEN '4-NOT SPECIFIED' THEN 'Branch' WHEN '5-LOW' THEN 'POS' END AS channel,
            CASE o_orderstatus WHEN 'O' THEN 'Pending' WHEN 'F' THEN 'Completed' WHEN 'P' THEN 'Failed' END AS status
     FROM lines),
-brand_owned AS (
-    SELECT DISTINCT f.customer_sk, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS product_sk
-    FROM facts f JOIN part ON f.product_sk = p_partkey),
-brand_owners AS (SELECT product_sk, count(*) AS owners FROM brand_owned GROUP BY product_sk),
-brand_pairs AS (
+held AS (SELECT DISTINCT customer_sk, product_sk FROM facts WHERE product_sk IS NOT NULL),
+held_owners AS (SELECT product_sk, count(*) AS owners FROM held GROUP BY product_sk),
+held_pairs AS (
     SELECT a.product_sk AS item_a, b.product_sk AS item_b, count(*) AS n_together
-    FROM brand_owned a JOIN brand_owned b ON a.customer_sk = b.customer_sk AND a.product_sk < b.product_sk GROUP BY 1, 2),
-brand_support AS (
+    FROM held a JOIN held b ON a.customer_sk = b.customer_sk AND a.product_sk < b.product_sk GROUP BY 1, 2),
+held_support AS (
     SELECT item_a, item_b, n_together, a.owners AS owners_a, b.owners AS owners_b,
            CAST(n_together AS DOUBLE) / a.owners AS support_a, CAST(n_together AS DOUBLE) / b.owners AS support_b
-    FROM brand_pairs JOIN brand_owners a ON item_a = a.product_sk JOIN brand_owners b ON item_b = b.product_sk),
+    FROM held_pairs JOIN held_owners a ON item_a = a.product_sk JOIN held_owners b ON item_b = b.product_sk),
 sold AS (SELECT f.*, p.product_category FROM facts f JOIN products p ON f.product_sk = p.product_sk),
 owned AS (SELECT DISTINCT customer_sk, product_category FROM sold),
 affinity AS (
@@ -280,7 +278,7 @@ add("customers_left_facts", """SELECT c.customer_id, count(f.transaction_id) AS
     LEFT JOIN facts f ON c.customer_sk = f.customer_sk LEFT JOIN dates d ON f.date_key = d.date_key
     GROUP BY c.customer_sk, c.customer_id""")
 add("product_pairs", """SELECT item_a, item_b, n_together, owners_a, owners_b, round(support_a, 4) AS support_a,
-    round(support_b, 4) AS support_b FROM brand_support""")
+    round(support_b, 4) AS support_b FROM held_support""")
 add("scd2_detect", "SELECT customer_id, CAST(old_version AS INTEGER) AS old_version, is_changed FROM compared")
 
 # --- aggregations -----------------------------------------------------------------------------------------
@@ -317,9 +315,9 @@ PERIODS = f"""sum(CASE WHEN {RECENT} THEN amount ELSE 0 END) AS amount_last_30d,
 PERIOD_NAMES = ("amount_last_30d", "amount_prev_30d", "avg_balance_last_30d", "avg_balance_prev_30d")
 add("agg_period_compare", f"""SELECT customer_sk, {', '.join(exact(n, n) for n in PERIOD_NAMES)}
     FROM (SELECT customer_sk, {PERIODS} FROM facts GROUP BY 1)""")
-add("customer_products", "SELECT customer_sk, product_sk FROM brand_owned")
-add("product_owner_counts", "SELECT product_sk, owners FROM brand_owners")
-add("product_pair_counts", "SELECT item_a, item_b, n_together FROM brand_pairs")
+add("customer_products", "SELECT customer_sk, product_sk FROM held")
+add("product_owner_counts", "SELECT product_sk, owners FROM held_owners")
+add("product_pair_counts", "SELECT item_a, item_b, n_together FROM held_pairs")
 add("merchant_risk", f"SELECT merchant_category, {rounded('fraud_rate', 'fraud_rate')} FROM ev_risk")
 add("hourly_velocity", f"SELECT customer_sk, tx_hour, tx_count, {rounded('tx_per_hour', 'tx_per_hour')} FROM ev_velocity")
 
@@ -481,12 +479,13 @@ add("v_churn_risk", f"""SELECT customer_sk, customer_id, customer_name, customer
     FROM (SELECT c.customer_sk, c.customer_id, customer_name, customer_segment, count(f.transaction_id) AS total_transactions,
                  max(full_date) AS last_transaction_date, {ELAPSED} AS days, {lookback('full_date', 'txn_last_')}
           FROM {JOINED} GROUP BY c.customer_sk, c.customer_id, customer_name, customer_segment)""")
-add("v_cross_sell_affinity", """SELECT 'Brand#' || item_a AS product_a_id, 'Product Brand#' || item_a AS product_a_name,
-    'Brand#' || item_b AS product_b_id, 'Product Brand#' || item_b AS product_b_name, n_together,
+add("v_cross_sell_affinity", """SELECT a.product_id AS product_a_id, a.product_name AS product_a_name,
+    b.product_id AS product_b_id, b.product_name AS product_b_name, n_together,
     round(support_a, 4) AS support_a, round(support_b, 4) AS support_b,
-    CAST(support_a > 0.85 OR support_b > 0.85 AS INTEGER) AS strong_affinity,
-    round(support_a * (SELECT count(DISTINCT customer_sk) FROM brand_owned) / owners_b, 4) AS lift
-    FROM brand_support WHERE support_a >= 0.8 OR support_b >= 0.8""")
+    CAST(support_a > 0.1 OR support_b > 0.1 AS INTEGER) AS strong_affinity,
+    round(support_a * (SELECT count(DISTINCT customer_sk) FROM held) / owners_b, 4) AS lift
+    FROM held_support JOIN products a ON item_a = a.product_sk JOIN products b ON item_b = b.product_sk
+    WHERE support_a >= 0.01 OR support_b >= 0.01""")
 DESCRIBED = """c.customer_sk, c.customer_id, customer_name, gender, income_bracket, customer_segment, city, state,
     account_open_date, date_of_birth"""
 add("customer_features", f"""SELECT {DESCRIBED}, coalesce({AGE}, 0) AS age,

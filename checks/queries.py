@@ -290,7 +290,7 @@ def customers_left_facts(s: Star) -> DataFrame:
 
 @query
 def product_pairs(s: Star) -> DataFrame:
-    owned = baskets.ownership(s.brand_facts)
+    owned = baskets.ownership(s.facts)
     return baskets.pair_support(baskets.pair_counts(owned), baskets.owner_counts(owned))
 
 
@@ -343,17 +343,17 @@ def agg_period_compare(s: Star) -> DataFrame:
 
 @query
 def customer_products(s: Star) -> DataFrame:
-    return baskets.ownership(s.brand_facts)
+    return baskets.ownership(s.facts)
 
 
 @query
 def product_owner_counts(s: Star) -> DataFrame:
-    return baskets.owner_counts(baskets.ownership(s.brand_facts))
+    return baskets.owner_counts(baskets.ownership(s.facts))
 
 
 @query
 def product_pair_counts(s: Star) -> DataFrame:
-    return baskets.pair_counts(baskets.ownership(s.brand_facts))
+    return baskets.pair_counts(baskets.ownership(s.facts))
 
 
 @query
@@ -589,7 +589,7 @@ def v_churn_risk(s: Star) -> DataFrame:
 
 @query
 def v_cross_sell_affinity(s: Star) -> DataFrame:
-    return cross_sell.cross_sell_affinity(s.brand_facts, s.brands, min_support=0.8, affinity_threshold=0.85, with_lift=True)
+    return cross_sell.cross_sell_affinity(s.facts, s.products, with_lift=True)
 
 
 @query

@@ -1,8 +1,8 @@
 """Co-ownership: which products (or categories) the same customers hold.
 
 Distinct ownership comes first, so a customer's group never exceeds the catalogue, however many transactions the
-customer has. Customers with the same set of products are then counted as one weighted basket, and pairs are counted
-per basket with map-side combining: the pair rows are summed where they arise and only the counts are shuffled.
+customer has. The items of a customer are cut into chunks; equal chunks are counted as one with a weight, and pairs are
+counted with map-side combining: the pair rows are summed where they arise and only the counts are shuffled.
 """
 
 from __future__ import annotations
@@ -13,13 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.columns import ratio
 
-#: Largest item set that is gathered into one array.
-BASKET_LIMIT = 1000
-#: Tasks over which the pairs of one larger owner are spread.
-PAIR_SALTS = 64
-
-#: Setting with which Spark bounds the distinct values of a pivot; used here for the same purpose.
-_PIVOT_LIMIT = "spark.sql.pivotMaxValues"
+#: Items of an owner that are gathered into one array on average; an owner with more has several.
+CHUNK_ITEMS = 512
 
 
 def ownership(facts: DataFrame, owner: str = "customer_sk", item: str = "product_sk") -> DataFrame:
@@ -37,9 +32,16 @@ def baskets_by_owner(owned: DataFrame, owner: str = "customer_sk", item: str = "
     return owned.groupBy(owner).agg(F.sort_array(F.collect_list(item)).alias("basket"))
 
 
-def weighted_baskets(owned: DataFrame, owner: str = "customer_sk", item: str = "product_sk") -> DataFrame:
-    """Distinct baskets with the number of owners that hold exactly these items."""
-    return baskets_by_owner(owned, owner, item).groupBy("basket").agg(F.count(F.lit(1)).alias("holders"))
+def chunked_baskets(
+    owned: DataFrame, owner: str = "customer_sk", item: str = "product_sk", chunk_items: int = CHUNK_ITEMS
+) -> DataFrame:
+    """(owner, chunk, basket): the items of each owner as sorted arrays of about ``chunk_items``, dealt by item hash.
+
+    An owner gets as many chunks as its size asks for; most have one.
+    """
+    sizes = owned.groupBy(owner).agg(F.ceil(F.count(F.lit(1)) / chunk_items).cast("long").alias("_chunks"))
+    dealt = owned.join(sizes, owner).withColumn("chunk", F.pmod(F.xxhash64(item), F.col("_chunks")))
+    return dealt.groupBy(owner, "chunk").agg(F.sort_array(F.collect_list(item)).alias("basket"))
 
 
 def _pairs(baskets: DataFrame) -> DataFrame:
@@ -50,30 +52,23 @@ def _pairs(baskets: DataFrame) -> DataFrame:
 
 
 def pair_counts(
-    owned: DataFrame, owner: str = "customer_sk", item: str = "product_sk", basket_limit: int = BASKET_LIMIT
+    owned: DataFrame, owner: str = "customer_sk", item: str = "product_sk", chunk_items: int = CHUNK_ITEMS
 ) -> DataFrame:
     """Owners that hold both items of a pair, ``item_a < item_b``.
 
-    Owners with at most ``basket_limit`` items go through weighted baskets. The items of a larger owner are never
-    gathered: they meet in a self-join spread over many tasks, and both parts are added up.
+    Every owner is cut into chunks of its items. Pairs inside a chunk are counted once per distinct chunk, weighted by
+    its holders; pairs across two chunks of an owner come from joining the chunks, each two of them once.
     """
-    sizes = owned.groupBy(owner).agg(F.count(F.lit(1)).alias("_size"))
-    sized = owned.join(sizes, owner)
-    small = _pairs(weighted_baskets(sized.where(F.col("_size") <= basket_limit), owner, item))
-    large = _spread_pairs(sized.where(F.col("_size") > basket_limit), owner, item)
-    both = small.select("item_a", "item_b", "holders").unionByName(large.withColumn("holders", F.lit(1).cast("long")))
-    return both.groupBy("item_a", "item_b").agg(F.sum("holders").alias("n_together"))
-
-
-def _spread_pairs(owned: DataFrame, owner: str, item: str) -> DataFrame:
-    """Pairs by self-join on (owner, salt): the first item picks its salt, the second is present under each."""
-    first = owned.select(
-        owner, F.col(item).alias("item_a"), F.pmod(F.xxhash64(item), F.lit(PAIR_SALTS)).alias("_salt")
+    chunks = chunked_baskets(owned, owner, item, chunk_items)
+    within = _pairs(chunks.groupBy("basket").agg(F.count(F.lit(1)).alias("holders")))
+    left = chunks.select(owner, F.col("chunk").alias("_left"), F.col("basket").alias("_here"))
+    right = chunks.select(owner, F.col("chunk").alias("_right"), F.col("basket").alias("_there"))
+    met = left.join(right, owner).where("_left < _right").select(F.explode("_here").alias("_one"), "_there")
+    across = met.select("_one", F.explode("_there").alias("_other")).select(
+        F.least("_one", "_other").alias("item_a"), F.greatest("_one", "_other").alias("item_b"), F.lit(1).cast("long").alias("holders")
     )
-    second = owned.select(
-        owner, F.col(item).alias("item_b"), F.explode(F.sequence(F.lit(0), F.lit(PAIR_SALTS - 1))).alias("_salt")
-    ).withColumn("_salt", F.col("_salt").cast("long"))
-    return first.join(second, [owner, "_salt"]).where("item_a < item_b").select("item_a", "item_b")
+    both = within.select("item_a", "item_b", "holders").unionByName(across)
+    return both.groupBy("item_a", "item_b").agg(F.sum("holders").alias("n_together"))
 
 
 def pair_support(pairs: DataFrame, counts: DataFrame, item: str = "product_sk") -> DataFrame:
@@ -88,36 +83,28 @@ def pair_support(pairs: DataFrame, counts: DataFrame, item: str = "product_sk")
     )
 
 
-def catalogue_values(df: DataFrame, column: str) -> list:
-    """Distinct values of a column for use as output columns, refused beyond Spark's own pivot limit."""
-    limit = int(df.sparkSession.conf.get(_PIVOT_LIMIT))
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values ({_PIVOT_LIMIT})")
-    return sorted(r[0] for r in rows)
-
-
 def affinity_matrix(
     owned: DataFrame, items: Sequence | None = None, owner: str = "customer_sk", item: str = "product_category"
 ) -> DataFrame:
-    """Share of the owners of ``item_a`` that also own ``item_b``, for every ordered pair of ``items``.
+    """Share of the owners of ``item_a`` that also own ``item_b``, for every ordered pair that somebody holds.
 
-    The diagonal is 1 and pairs nobody holds are 0. ``items`` is the catalogue of columns of the matrix; it is read
-    from the data, within Spark's pivot limit, when not given.
+    The diagonal is 1. With ``items``, the catalogue of the matrix, only these count and pairs nobody holds are 0.
     """
-    values = list(items) if items is not None else catalogue_values(owned, item)
-    counts = owner_counts(owned, owner, item).where(F.col(item).isin(values))
-    grid = counts.select(
-        F.col(item).alias("item_a"), "owners", F.explode(F.array(*[F.lit(v) for v in values])).alias("item_b")
-    )
+    counts = owner_counts(owned, owner, item)
     half = pair_counts(owned, owner, item)
-    both = half.unionByName(half.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "n_together"))
-    together = F.when(F.col("item_a") == F.col("item_b"), F.col("owners")).otherwise(
-        F.coalesce("n_together", F.lit(0))
-    )
-    return grid.join(both, ["item_a", "item_b"], "left").select(
-        "item_a", "item_b", ratio(together, F.col("owners")).alias("affinity")
-    )
+    diagonal = counts.select(F.col(item).alias("item_a"), F.col(item).alias("item_b"), F.col("owners").alias("n_together"))
+    held = half.unionByName(
+        half.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "n_together")
+    ).unionByName(diagonal)
+    owners = counts.select(F.col(item).alias("item_a"), "owners")
+    if items is None:
+        cells = held.join(owners, "item_a")
+    else:
+        values = list(items)
+        grid = owners.where(F.col("item_a").isin(values)).withColumn("item_b", F.explode(F.array(*[F.lit(v) for v in values])))
+        cells = grid.join(held, ["item_a", "item_b"], "left")
+    together = F.coalesce("n_together", F.lit(0))
+    return cells.select("item_a", "item_b", ratio(together, F.col("owners")).alias("affinity"))
 
 
 def mean_affinity(
@@ -125,10 +112,11 @@ def mean_affinity(
 ) -> DataFrame:
     """Mean affinity of each owner over the ordered pairs of two different items owned; 0 for a single item.
 
-    Worked out once per distinct basket and joined back, so owners with equal baskets share the work. ``items`` is
-    the catalogue, as in :func:`affinity_matrix`.
+    Worked out once per distinct basket and joined back, so owners with equal baskets share the work. With ``items``
+    only these count.
     """
-    owned = owned.where(F.col(item).isin(list(items) if items is not None else catalogue_values(owned, item)))
+    if items is not None:
+        owned = owned.where(F.col(item).isin(list(items)))
     counts = owner_counts(owned, owner, item)
     affinity = pair_support(pair_counts(owned, owner, item), counts, item).select(
         "item_a", "item_b", (F.col("support_a") + F.col("support_b")).alias("_both_ways")
@@ -166,8 +154,8 @@ def _pivot(df: DataFrame, by: str, column: str, values: Sequence, prefix: str, m
     return wide.select(
         by,
         *[
-            F.coalesce(F.col(f"`{v}`"), F.lit(fill).cast(kinds[str(v)])).alias(column_name(prefix, v))
-            for v in values
+            F.coalesce(F.col(f"`{v}`"), F.lit(fill).cast(kinds[str(v)])).alias(name)
+            for v, name in zip(values, column_names(prefix, values), strict=True)
         ],
     )
 
@@ -177,6 +165,20 @@ def column_name(prefix: str, value) -> str:
     return prefix + "".join(ch if ch.isalnum() else "_" for ch in str(value))
 
 
+def column_names(prefix: str, values: Sequence) -> list[str]:
+    """A name for each value; names that would be equal, letter case aside, get a number behind them."""
+    names, taken = [], set()
+    for value in values:
+        name = plain = column_name(prefix, value)
+        n = 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{plain}_{n}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def owned_sets(owned: DataFrame, owner: str = "customer_sk", item: str = "product_category") -> DataFrame:
     """The items of each owner as a sorted array."""
     return baskets_by_owner(owned, owner, item).withColumnRenamed("basket", f"{item}_set")

@@ -72,7 +72,10 @@ def calendar_basic(days: DataFrame) -> DataFrame:
 def with_full_date(facts: DataFrame, dim_date: DataFrame, how: str = "left", columns: tuple[str, ...] = ()) -> DataFrame:
     """Add ``full_date`` (and further calendar columns) to facts.
 
-    The calendar is broadcast: its size is bounded by :data:`MAX_CALENDAR_DAYS` whatever the facts hold.
+    Only rows whose key is a real day between the bounds of a usable key count, and each key once; so what is broadcast
+    is bounded by :data:`MAX_CALENDAR_DAYS`, and facts are never multiplied, whatever table is given.
     """
-    wanted = dim_date.select("date_key", "full_date", *columns)
+    day = D.date_from_key("date_key")
+    usable = F.col("date_key").between(D.MIN_DATE_KEY, D.MAX_DATE_KEY) & day.isNotNull()
+    wanted = dim_date.where(usable).select("date_key", "full_date", *columns).dropDuplicates(["date_key"])
     return facts.join(F.broadcast(wanted), "date_key", how)

@@ -9,13 +9,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starmart.functions import dates as D
 from starmart.functions.columns import age_group
 from starmart.operators.baskets import (
-    catalogue_values, column_name, owner_counts, ownership, pair_counts, pair_support,
+    column_names, owner_counts, ownership, pair_counts, pair_support,
 )
 from starmart.operators.facts import current_customers
 
 # --- fixed values: default thresholds ---------------------------------------------------------------------
 MIN_SUPPORT = 0.01
 AFFINITY_THRESHOLD = 0.1
+# --- fixed values: the values that become columns unless others are given
+PRODUCT_CATEGORIES = ("Savings", "Checking", "Credit Card", "Loan", "Investment")
+TRANSACTION_CATEGORIES = ("Purchase", "Withdrawal", "Deposit", "Fee", "Interest")
+CHANNELS = ("Online", "Mobile", "ATM", "Branch", "POS")
 # ----------------------------------------------------------------------------------------------------------
 
 
@@ -60,35 +64,36 @@ def cross_sell_features(
     facts: DataFrame,
     dim_product: DataFrame,
     as_of=None,
-    product_categories: Sequence[str] | None = None,
-    transaction_categories: Sequence[str] | None = None,
-    channels: Sequence[str] | None = None,
+    product_categories: Sequence[str] = PRODUCT_CATEGORIES,
+    transaction_categories: Sequence[str] = TRANSACTION_CATEGORIES,
+    channels: Sequence[str] = CHANNELS,
 ) -> DataFrame:
     """Owned categories, three pivots and demographics of every current customer with transactions.
 
     All pivots group by customer, so they are conditional aggregates of one grouping: one shuffle of pre-aggregated
-    rows in place of a pivot and a join each. The value lists become columns; a list that is not given is read from
-    the data within Spark's pivot limit.
+    rows in place of a pivot and a join each. Facts are summed by customer, product, category and channel before they
+    meet the products. The value lists become columns; they are part of the table's shape and so are given, not read
+    from the data.
     """
-    categories = product_categories if product_categories is not None else catalogue_values(dim_product, "product_category")
-    kinds = transaction_categories if transaction_categories is not None else catalogue_values(facts, "transaction_category")
-    ways = channels if channels is not None else catalogue_values(facts, "channel")
-
-    used = facts.select("customer_sk", "product_sk", "transaction_category", "channel", "amount")
+    used = facts.groupBy("customer_sk", "product_sk", "transaction_category", "channel").agg(
+        F.sum("amount").alias("amount"), F.count("amount").alias("_n")
+    )
     sold = used.join(dim_product.select("product_sk", "product_category"), "product_sk")
 
-    def spend(column: str, value: str, prefix: str) -> Column:
-        total = F.coalesce(F.sum(F.when(F.col(column) == value, F.col("amount")).otherwise(0)), F.lit(0))
-        return total.alias(column_name(prefix, value))
+    def spend(column: str, values: Sequence[str], prefix: str) -> list[Column]:
+        return [
+            F.coalesce(F.sum(F.when(F.col(column) == v, F.col("amount"))), F.lit(0)).alias(name)
+            for v, name in zip(values, column_names(prefix, values), strict=True)
+        ]
 
     per_customer = sold.groupBy("customer_sk").agg(
         F.array_sort(F.collect_set("product_category")).alias("current_products"),
         *[
-            F.count_if((F.col("product_category") == c) & F.col("amount").isNotNull()).alias(column_name("prod_count_", c))
-            for c in categories
+            F.coalesce(F.sum(F.when(F.col("product_category") == c, F.col("_n"))), F.lit(0)).alias(name)
+            for c, name in zip(product_categories, column_names("prod_count_", product_categories), strict=True)
         ],
-        *[spend("transaction_category", k, "cat_spend_") for k in kinds],
-        *[spend("channel", w, "chan_spend_") for w in ways],
+        *spend("transaction_category", transaction_categories, "cat_spend_"),
+        *spend("channel", channels, "chan_spend_"),
     )
     demographics = current_customers(dim_customer).select(
         "customer_sk", "income_bracket",

@@ -36,10 +36,10 @@ def facts(spark):
     return spark.createDataFrame(make_facts(), "customer_sk long, product_sk long")
 
 
-@pytest.mark.parametrize("limit", [1000, 5, 0])
-def test_pair_counts_against_brute_force(facts, limit):
-    """Small limits send customers through the spread self-join."""
-    got = baskets.pair_counts(baskets.ownership(facts), basket_limit=limit)
+@pytest.mark.parametrize("chunk", [512, 5, 1])
+def test_pair_counts_against_brute_force(facts, chunk):
+    """Small chunks give each customer several."""
+    got = baskets.pair_counts(baskets.ownership(facts), chunk_items=chunk)
     assert {(r.item_a, r.item_b): r.n_together for r in got.collect()} == brute_pairs(make_facts())
 
 
@@ -71,14 +71,22 @@ def test_mean_affinity(facts):
         assert got[customer] == pytest.approx(sum(pairs) / len(pairs) if pairs else 0.0)
 
 
-def test_catalogue_is_read_within_the_pivot_limit(spark, facts):
-    assert baskets.catalogue_values(facts, "product_sk") == list(range(12))
-    spark.conf.set("spark.sql.pivotMaxValues", "11")
-    try:
-        with pytest.raises(ValueError):
-            baskets.catalogue_values(facts, "product_sk")
-    finally:
-        spark.conf.unset("spark.sql.pivotMaxValues")
+def test_affinity_without_a_catalogue_lists_held_pairs(facts):
+    got = {(r.item_a, r.item_b) for r in baskets.affinity_matrix(baskets.ownership(facts), item="product_sk").collect()}
+    pairs = set(brute_pairs(make_facts()))
+    assert got == pairs | {(b, a) for a, b in pairs} | {(i, i) for i in range(12)}
+
+
+def test_an_owner_with_a_large_catalogue(spark):
+    owned = spark.range(5000).select(F.lit(1).cast("long").alias("customer_sk"), F.col("id").alias("product_sk"))
+    chunks = baskets.chunked_baskets(owned).select(F.size("basket").alias("n")).collect()
+    assert len(chunks) == 10 and max(r.n for r in chunks) < 700
+    got = baskets.pair_counts(owned).agg(F.count("*").alias("n"), F.min("n_together").alias("a"), F.max("n_together").alias("z")).first()
+    assert tuple(got) == (5000 * 4999 // 2, 1, 1)
+
+
+def test_column_names_stay_distinct():
+    assert baskets.column_names("p_", ["A b", "A-b", "a_b", "C"]) == ["p_A_b", "p_A_b_2", "p_a_b_3", "p_C"]
 
 
 def test_pivots(spark):
@@ -113,7 +121,8 @@ def test_cross_sell_features(spark):
     facts = spark.sql("""SELECT customer_sk, product_sk, kind AS transaction_category, channel, CAST(amount AS DECIMAL(15,2)) AS amount
         FROM VALUES (1L, 1L, 'Fee', 'ATM', 5), (1L, 2L, NULL, 'POS', 7), (2L, 1L, 'Fee', 'POS', NULL), (3L, 1L, 'Fee', 'POS', 1),
                     (1L, 9L, 'Fee', 'POS', 100) t(customer_sk, product_sk, kind, channel, amount)""")
-    rows = {r.customer_sk: r.asDict() for r in cross_sell_features(customers, facts, products, "2020-01-01").collect()}
+    rows = {r.customer_sk: r.asDict() for r in cross_sell_features(
+        customers, facts, products, "2020-01-01", ["Card", "Loan"], ["Fee"], ["ATM", "POS"]).collect()}
     assert set(rows) == {1, 2}
     assert rows[1] == {
         "customer_sk": 1, "current_products": ["Card", "Loan"], "prod_count_Card": 1, "prod_count_Loan": 1, "cat_spend_Fee": 5,
