@@ -30,6 +30,14 @@ MESSAGES = {
     "regex": "Column '%s': %d value(s) did not match pattern '{}'.",
     "date_format": "Column '%s': %d value(s) failed to parse with format '{}'.",
     "referential_integrity": "Column '%s': %d orphaned value(s).",
+    "missing": "Column '{}' does not exist.",
+    "exception": "Check raised an exception.",
+    "range": "Column '{}': ",
+    "range_below": "%d value(s) below %s",
+    "range_above": "%d value(s) above %s",
+    "range_passed": "all values in range.",
+    "freshness": "Column '{}': most recent date is %d day(s) old (max allowed: {}).",
+    "freshness_undated": "Column '{}' has no parseable dates.",
 }
 # ----------------------------------------------------------------------------------------------------------
 
@@ -97,7 +105,14 @@ def duplicate_count(df: DataFrame, column: str) -> DataFrame:
 def invalid_values(df: DataFrame, column: str, valid_values: Sequence) -> DataFrame:
     """Distinct non-NULL values outside the set, one per row."""
     value = F.col(column)
-    return df.where(value.isNotNull() & ~value.isin(*valid_values)).select(value.alias("value")).distinct()
+    return df.where(value.isNotNull() & ~_in_set(df, column, valid_values)).select(value.alias("value")).distinct()
+
+
+def _in_set(df: DataFrame, column: str, valid_values: Sequence) -> Column:
+    """Whether a value is in the set, compared as the column's type. A NULL in the set stands for nothing."""
+    kind = df.schema[column].dataType
+    wanted = [F.lit(v).cast("string").try_cast(kind) for v in valid_values if v is not None]
+    return F.coalesce(reduce(Column.__or__, (F.col(column) == w for w in wanted), F.lit(False)), F.lit(False))
 
 
 def orphans(df: DataFrame, column: str, reference: DataFrame, ref_column: str) -> DataFrame:
@@ -147,7 +162,7 @@ def run_checks(df: DataFrame, checks: Mapping[str, Mapping], as_of=None) -> Data
                         fixed.append(built)
             except (TypeError, ValueError, re.error, AnalysisException) as error:
                 log.warning("check %s failed to run: %s", check_type, error)
-                fixed.append((check_type, "", False, None, "Check raised an exception.", {}))
+                fixed.append((check_type, "", False, None, MESSAGES["exception"], {}))
 
     parts = list(grouped)
     if scalars:
@@ -172,7 +187,7 @@ def _scalar_results(df: DataFrame, scalars: list[_Scalar]) -> DataFrame:
 
 
 def _missing(check_type: str, column: str) -> list[tuple]:
-    return [(check_type, column, False, None, f"Column '{column}' does not exist.", {})]
+    return [(check_type, column, False, None, MESSAGES["missing"].format(column), {})]
 
 
 def _details(**values: Column) -> Column:
@@ -256,11 +271,11 @@ def _range(df, column, min_val=None, max_val=None, as_of=None):
         low, high = parts(i)
         found = F.concat_ws(
             "; ",
-            F.when(low > 0, F.format_string("%d value(s) below %s", low, F.lit(str(min_val)))),
-            F.when(high > 0, F.format_string("%d value(s) above %s", high, F.lit(str(max_val)))),
+            F.when(low > 0, F.format_string(MESSAGES["range_below"], low, F.lit(str(min_val)))),
+            F.when(high > 0, F.format_string(MESSAGES["range_above"], high, F.lit(str(max_val)))),
         )
-        summary = F.when(low + high > 0, found).otherwise("all values in range.")
-        return F.concat(F.lit(f"Column '{column}': "), summary)
+        summary = F.when(low + high > 0, found).otherwise(MESSAGES["range_passed"])
+        return F.concat(F.lit(MESSAGES["range"].format(column)), summary)
 
     return [_Scalar(
         "range", column, {"below": below, "above": above},
@@ -279,9 +294,18 @@ def _regex(df, column, pattern, as_of=None):
     if column not in df.columns:
         return _missing("regex", column)
     re.compile(pattern)
+    _java_accepts(df.sparkSession, pattern)
     return [_counting("regex", column, pattern_mismatch_count(column, pattern), "mismatch_count", pattern, pattern=pattern)]
 
 
+def _java_accepts(spark: SparkSession, pattern: str) -> None:
+    """Evaluate the pattern on one literal, so that one which only Python knows fails its own check and no other."""
+    try:
+        spark.range(1).select(F.lit("").rlike(f"^(?:{pattern})")).collect()
+    except Exception as error:
+        raise ValueError(f"the pattern {pattern!r} is not usable: {error}") from error
+
+
 def _date_format(df, column, fmt="%Y-%m-%d", as_of=None):
     if column not in df.columns:
         return _missing("date_format", column)
@@ -311,10 +335,8 @@ def _freshness(df, date_column, max_age_days, as_of=None):
         return F.floor(F.timestamp_diff("MICROSECOND", newest(i), now) / F.lit(86_400_000_000.0)).cast("long")
 
     def text(i):
-        dated = F.format_string(
-            f"Column '{date_column}': most recent date is %d day(s) old (max allowed: {max_age_days}).", age(i)
-        )
-        return F.when(newest(i).isNull(), f"Column '{date_column}' has no parseable dates.").otherwise(dated)
+        dated = F.format_string(MESSAGES["freshness"].format(date_column, max_age_days), age(i))
+        return F.when(newest(i).isNull(), MESSAGES["freshness_undated"].format(date_column)).otherwise(dated)
 
     return [_Scalar(
         "freshness", date_column, {"newest": newest_date(date_column)},
@@ -405,10 +427,32 @@ def _for_table(results: DataFrame, name: str) -> DataFrame:
     return results.select(F.lit(name).alias("table_name"), *_COLUMNS)
 
 
-def enforce(results: DataFrame, shown: int = 20) -> None:
-    """Raise :class:`QualityGateError` if any check failed. Pass results that are already written."""
-    failed = results.where(~F.col("passed"))
-    n = failed.count()
-    if n:
-        lines = [row.message for row in failed.select("message").limit(shown).collect()]
-        raise QualityGateError(f"{n} data quality check(s) failed: " + " | ".join(lines))
+def offending_values(df: DataFrame, checks: Mapping[str, Mapping]) -> DataFrame:
+    """(check_type, columns, value) for every value that a value set or a reference rejects, one per row and whole.
+
+    Takes the same checks as :func:`run_checks`; kinds of checks without a list of values are passed over.
+    """
+    parts = [df.sparkSession.createDataFrame([], "check_type string, columns string, value string")]
+    for check_type in ("values_in_set", "referential_integrity"):
+        spec = checks.get(check_type, [])
+        for a in spec if isinstance(spec, (list, tuple)) else [spec]:
+            if a["column"] not in df.columns:
+                continue
+            found = (
+                invalid_values(df, a["column"], a["valid_values"]) if check_type == "values_in_set"
+                else orphans(df, a["column"], a["reference_df"], a["ref_column"])
+            )
+            parts.append(found.select(
+                F.lit(check_type).alias("check_type"), F.lit(a["column"]).alias("columns"), F.col("value").cast("string").alias("value")
+            ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def enforce(results: DataFrame) -> None:
+    """Raise :class:`QualityGateError` with every failed check. Pass results that are already written.
+
+    There is one row for each rule, so the message is bounded by the rules.
+    """
+    lines = [row.message for row in results.where(~F.col("passed")).select("message").collect()]
+    if lines:
+        raise QualityGateError(f"{len(lines)} data quality check(s) failed: " + " | ".join(lines))
