@@ -153,6 +153,21 @@ FACT_CUSTOMER_SNAPSHOT = TableContract(
     foreign_keys={"date_key": ("dim_date", "date_key"), "customer_sk": ("dim_customer", "customer_sk")},
 )
 
+#: What a batch of customers must have; versions and keys are assigned later.
+DIM_CUSTOMER_BATCH = TableContract(
+    name="dim_customer",
+    columns={"customer_id": _S, "customer_name": _S},
+    natural_key="customer_id",
+    required=("customer_id", "customer_name"),
+)
+
+#: Rows that a load has turned away: the table they were for, the columns that broke its rules, and the row as JSON.
+REJECTED_ROWS = TableContract(
+    name="rejected_rows",
+    columns={"table_name": _S, "columns": _S, "row": _S},
+    required=("table_name", "columns", "row"),
+)
+
 WAREHOUSE_TABLES = {
     c.name: c
     for c in (DIM_DATE, DIM_CUSTOMER, DIM_PRODUCT, DIM_BRANCH, FACT_TRANSACTIONS, FACT_CUSTOMER_SNAPSHOT)

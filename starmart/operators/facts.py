@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from starmart.contracts import FACT_TRANSACTIONS
 from starmart.functions import dates as D
 from starmart.functions.columns import any_of
+from starmart.operators.dedup import keep_last
 
 #: A transaction without one of these is not loaded.
 REQUIRED = ("transaction_id", "customer_id", "product_id", "amount", "transaction_date")
@@ -122,7 +123,11 @@ def absent_rows(
     on = [key, *fixed_columns]
     known = stored.select(*on).join(batch.select(*on), on, "left_semi")
     fresh = batch.join(known, on, "left_anti")
-    return fresh.dropDuplicates([key]) if dedup_batch else fresh
+    if not dedup_batch:
+        return fresh
+    # which copy stays depends on its values alone, so a retry keeps the same one
+    values = [c for c in fresh.columns if c != key]
+    return keep_last(fresh.withColumn("_copy", F.xxhash64(*values)), key, "_copy").drop("_copy") if values else fresh.distinct()
 
 
 def fact_columns(facts: DataFrame) -> DataFrame:

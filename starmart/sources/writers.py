@@ -9,6 +9,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.sources.readers import CSV_DIALECT
+
 log = logging.getLogger(__name__)
 
 #: Tail of a written version: number, and a tag that no other run shares.
@@ -58,7 +60,8 @@ def publish(df: DataFrame, name: str, skip_empty: bool = False, keep: int = 2) -
     The rows go to a new table and ``name`` is a view that is then switched to it in one catalog operation. A run that
     fails midway leaves the previous contents readable; what it wrote is dropped by a later run. The last ``keep``
     versions stay for readers that started before the switch. With ``skip_empty`` an empty result leaves the previous
-    contents in place. Returns whether ``name`` changed.
+    contents in place. A name has one writer at a time: two at once may drop each other's tables. Returns whether
+    ``name`` changed.
     """
     spark = df.sparkSession
     version = (_live_version(spark, name) or 0) + 1
@@ -101,7 +104,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Write CSV that :func:`starmart.sources.readers.read_csv` reads back, blanks, quotes and line ends included."""
+    df.write.mode("overwrite").options(**CSV_DIALECT).csv(path)
 
 
 def export_csv(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], folder: str) -> dict[str, str | None]:
