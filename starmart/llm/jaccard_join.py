@@ -34,7 +34,7 @@ from .staging import block_of, parts, staged, text_bytes
 from .words import flat, shingle_sets
 
 SHINGLE, PERCENT = 5, 75
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 WORD_BYTES = 5
 #: Shingles that are searched together in one task; a larger family is searched in pairs of slices of half as many.
 TOGETHER = 4_000_000

@@ -22,7 +22,7 @@ from .words import SECOND_BASE, Words, flat, slices
 
 WINDOW = 20
 #: UTF-8 bytes of text in a block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: UTF-8 bytes that a word takes at least on average; only the size of the sketch rests on it.
 WORD_BYTES = 5
 CANDIDATES = "shard int, block int, n int, keys binary, checks binary, docs binary"

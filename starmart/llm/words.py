@@ -16,7 +16,7 @@ BASE = 0x9E3779B97F4A7C15
 RUN_BASE = 0xD1342543DE82EF95
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
 #: Bytes of text whose arrays are in memory together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
