@@ -21,8 +21,8 @@ from .staging import block_of, parts, text_bytes
 from .words import SECOND_BASE, Words, flat, slices
 
 WINDOW = 20
-#: UTF-8 bytes of text in a block.
-BLOCK_BYTES = 8 << 20
+#: UTF-8 bytes of text in a block. A task needs some 30 times as much memory; larger blocks send fewer, longer messages.
+BLOCK_BYTES = 4 << 20
 #: UTF-8 bytes that a word takes at least on average; only the size of the sketch rests on it.
 WORD_BYTES = 5
 CANDIDATES = "shard int, block int, n int, keys binary, checks binary, docs binary"
@@ -43,19 +43,19 @@ class _Block:
         order = np.lexsort((digests, ids))
         self.table, self.docs = table.take(order), ids[order]
         column = flat(self.table["text"])
-        keys, checks, starts, rows, counts, words = [], [], [], [], [], 0
+        keys, checks, starts, counts, words = [], [], [], [], 0
         for low, high in slices(column):
             w = Words(column[low:high])
             at = w.run_starts(length)
             keys.append(w.runs(at, length))
             checks.append(w.runs(at, length, SECOND_BASE).astype(np.uint32))
             starts.append(at + words)
-            rows.append(np.repeat(np.arange(low, high), np.diff(np.searchsorted(at, w.first))))
             counts.append(w.count)
             words += len(w.hashes)
         join = lambda arrays, kind: np.concatenate(arrays) if arrays else np.zeros(0, kind)
         self.keys, self.checks = join(keys, np.uint64), join(checks, np.uint32)
-        self.starts, self.rows, self.counts, self.words = join(starts, np.int64), join(rows, np.int64), join(counts, np.int64), words
+        self.starts, self.counts, self.words = join(starts, np.int64), join(counts, np.int64), words
+        self.word_ends = np.cumsum(self.counts)
         # distinct windows, the first place of each, and which of them each window is
         self.distinct, self.first, self.which, self.times = np.unique(self.keys, return_index=True, return_inverse=True, return_counts=True)
 
@@ -114,7 +114,7 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW, *, with_text: bool = T
         for a, z in runs_of(target):
             at = first[a:z]
             out.append({"shard": int(target[a]), "block": b.block, "n": z - a, "keys": packed(steps(keys[a:z])),
-                        "checks": packed(b.checks[at]), "docs": packed(b.docs[b.rows[at]])})
+                        "checks": packed(b.checks[at]), "docs": packed(b.docs[np.searchsorted(b.word_ends, b.starts[at], "right")])})
         return pa.Table.from_pylist(out, _CANDIDATES)
 
     def clean(table: pa.Table, flagged: pa.Table) -> pa.Table:
