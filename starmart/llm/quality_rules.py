@@ -172,4 +172,6 @@ def quality_filter(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang",
     slim = staged(measured(docs.select("doc_id", F.col(stratum).cast("string").alias("__s"), "text")).drop("text"), "quality-measures")
     cutoffs = certified_cutoffs(slim, labels, stratum="__s", **options)
     rows = measured(docs.select(F.struct(*docs.columns).alias("__row"), F.col(stratum).cast("string").alias("__s"), "text"))
-    return judged(rows, cutoffs, stratum="__s").where("kept").select("__row.*")
+    # a filter on `kept` would be pushed below the measures and compute them once for each mention
+    held = judged(rows, cutoffs, stratum="__s").select(F.explode_outer(F.when(F.col("kept"), F.array("__row"))).alias("__kept"))
+    return held.where(F.col("__kept").isNotNull()).select("__kept.*")
