@@ -567,3 +567,26 @@ add("warehouse_end_to_end", f"""SELECT customer_id, customer_name, customer_segm
           FROM compared c LEFT JOIN facts f ON c.customer_id = f.customer_id AND NOT is_changed
           LEFT JOIN dates d ON f.date_key = d.date_key
           GROUP BY c.customer_id, c.customer_name, c.customer_segment, is_changed)""")
+
+add("src_csv_quoted_text", r"""SELECT CAST(doc_id AS VARCHAR) AS customer_id,
+    md5(' "' || translate(text, chr(10) || chr(13), '  ') || '", ') AS name FROM documents""")
+add("src_csv_mixed_headers", "SELECT doc_id, lang, source FROM documents")
+add("sink_csv_text_roundtrip", """SELECT doc_id, md5('  "' || text || '" ,""' || chr(10) || ' x ') AS text FROM documents""")
+add("load_null_keys_twice", "SELECT 'P' || p_partkey AS product_id, p_name AS product_name FROM part WHERE p_size > 5")
+add("load_rejected_rows", """SELECT DISTINCT 'fact_transactions' AS table_name, 'amount' AS columns, transaction_id
+    FROM facts WHERE fee = 0""")
+add("load_customer_snapshot", f"""SELECT c.customer_id, CAST(19990630 AS INTEGER) AS date_key, CAST(count(f.transaction_id) AS INTEGER) AS total_transactions,
+    {exact('coalesce(sum(amount), 0)', 'total_amount')}, CAST(count(DISTINCT product_sk) AS INTEGER) AS num_products,
+    CAST(coalesce(date_diff('day', max(transaction_date), {SNAP}), 0) AS INTEGER) AS days_since_last_transaction,
+    coalesce(max(transaction_date) >= {SNAP} - 30, false) AS is_active
+    FROM customers c LEFT JOIN facts f ON c.customer_sk = f.customer_sk AND transaction_date <= {SNAP} GROUP BY c.customer_id""")
+add("stored_views", "SELECT 'all' AS warehouse, * FROM (" + REVENUE.format(where="") + """)
+    UNION ALL SELECT 'early' AS warehouse, * FROM (""" + REVENUE.format(where="WHERE transaction_date < DATE '1996-01-01'") + ")")
+add("dq_isolated_failures", """SELECT 'not_null' AS check_type, 'p_brand' AS columns, count(*) FILTER (p_brand IS NULL) = 0 AS passed,
+        count(*) FILTER (p_brand IS NULL) AS violations FROM part
+    UNION ALL SELECT 'regex', '', false, NULL
+    UNION ALL SELECT 'values_in_set', 'p_brand', count(DISTINCT p_brand) = 0, count(DISTINCT p_brand) FROM part WHERE p_brand <> 'Brand#11'
+    UNION ALL SELECT 'values_in_set', 'p_name', count(DISTINCT p_name) = 0, count(DISTINCT p_name) FROM part""")
+add("dq_offending_values", """SELECT DISTINCT 'values_in_set' AS check_type, 'p_brand' AS columns, p_brand AS value FROM part WHERE p_brand <> 'Brand#11'
+    UNION ALL SELECT DISTINCT 'referential_integrity', 'p_size', CAST(p_size AS VARCHAR) FROM part
+    WHERE p_size NOT IN (SELECT n_nationkey FROM nation)""")

@@ -105,6 +105,38 @@ def src_param_query(s: Star) -> DataFrame:
     )
 
 
+def _hard_text(s: Star) -> DataFrame:
+    """All document texts, with quotes, line ends and outer blanks added."""
+    return s.raw("documents").select("doc_id", F.concat(F.lit('  "'), "text", F.lit('" ,""\n x ')).alias("text"))
+
+
+@query
+def src_csv_quoted_text(s: Star) -> DataFrame:
+    """Customers whose names hold quotes, commas and outer blanks."""
+    names = s.raw("documents").select(
+        F.col("doc_id").cast("string").alias("customer_id"),
+        F.concat(F.lit(' "'), F.translate("text", "\n\r", "  "), F.lit('", ')).alias("customer_name"),
+    )
+    back = readers.read_customers(s.spark, csv_copy(names, "quoted"))
+    return back.select("customer_id", F.md5("customer_name").alias("name"))
+
+
+@query
+def src_csv_mixed_headers(s: Star) -> DataFrame:
+    """Two files with the same columns in another order."""
+    docs = s.raw("documents").select("doc_id", "lang", "source")
+    here = csv_copy(docs.where("doc_id % 2 = 0"), "here")
+    there = csv_copy(docs.where("doc_id % 2 = 1").select("source", "doc_id", "lang"), "there")
+    return readers.read_csv(s.spark, [here, there], docs.schema)
+
+
+@query
+def sink_csv_text_roundtrip(s: Star) -> DataFrame:
+    texts = _hard_text(s)
+    back = readers.read_csv(s.spark, csv_copy(texts, "texts"), texts.schema, multi_line=True)
+    return back.select("doc_id", F.md5("text").alias("text"))
+
+
 # --- sinks and contracts ----------------------------------------------------------------------------------
 
 @query
@@ -313,7 +345,7 @@ def agg_basic_by_customer(s: Star) -> DataFrame:
 
 @query
 def agg_distinct_products(s: Star) -> DataFrame:
-    return s.facts.groupBy("customer_sk").agg(F.countDistinct("product_sk").alias("product_count"))
+    return dedup.distinct_counts(s.facts, "customer_sk", "product_sk", "product_count")
 
 
 @query
@@ -750,4 +782,70 @@ def warehouse_end_to_end(s: Star) -> DataFrame:
     batch = dedup.keep_last(s.customer_batch, "customer_id", "seq").drop("seq")
     w.run(_source_tables(s), scratch_path(s.spark, "export"), batch)
     versions = w.table("dim_customer").select("customer_sk", "version", "effective_date")
-    return s.spark.read.table("v_churn_risk").join(versions, "customer_sk").drop("customer_sk")
+    return w.table("v_churn_risk").join(versions, "customer_sk").drop("customer_sk")
+
+
+@query
+def load_null_keys_twice(s: Star) -> DataFrame:
+    """Products, those of small size without an id, loaded twice."""
+    w = _warehouse(s)
+    products = s.products.drop("product_sk").join(s.raw("part").select(F.concat(F.lit("P"), "p_partkey").alias("product_id"), "p_size"), "product_id")
+    batch = products.withColumn("product_id", F.when(F.col("p_size") > 5, F.col("product_id"))).drop("p_size")
+    for _ in range(2):
+        w.load_products(batch)
+    return w.table("dim_product").select("product_id", "product_name")
+
+
+@query
+def load_rejected_rows(s: Star) -> DataFrame:
+    """Facts, those without a fee with an amount that is no number, into a warehouse that takes complete rows only."""
+    w = _warehouse(s)
+    w.strict = True
+    tables = _source_tables(s)
+    amount = F.when(F.col("fee") == 0, "n/a").otherwise(F.col("amount").cast("string"))
+    w.initial_load({**tables, "transactions": tables["transactions"].withColumn("amount", amount)})
+    return w.table("rejected_rows").select("table_name", "columns", F.get_json_object("row", "$.transaction_id").alias("transaction_id"))
+
+
+@query
+def load_customer_snapshot(s: Star) -> DataFrame:
+    """The stored snapshot of a day, loaded twice."""
+    w = _warehouse(s)
+    w.initial_load(_source_tables(s))
+    for _ in range(2):
+        w.load_snapshot("1999-06-30")
+    customers = w.table("dim_customer").select("customer_sk", "customer_id")
+    return w.table("fact_customer_snapshot").join(customers, "customer_sk").select(
+        "customer_id", "date_key", "total_transactions", F.col("total_amount"), "num_products", "days_since_last_transaction", "is_active"
+    )
+
+
+@query
+def stored_views(s: Star) -> DataFrame:
+    """The revenue views of two warehouses in one session: one of all facts, one of those before 1996."""
+    out = []
+    for name, facts in (("all", s.facts), ("early", s.facts.where("transaction_date < '1996-01-01'"))):
+        w = _warehouse(s)
+        w.initial_load({**_source_tables(s), "transactions": facts.drop("customer_sk", "product_sk", "date_key")})
+        w.create_views()
+        out.append(w.table("v_monthly_revenue").select(F.lit(name).alias("warehouse"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query
+def dq_isolated_failures(s: Star) -> DataFrame:
+    """A NULL in a set, a set of another type and a pattern that only Python knows, beside a check that answers."""
+    checks = {
+        "not_null": {"columns": ["p_brand"]}, "regex": {"column": "p_brand", "pattern": r"(?P<y>\d{4})"},
+        "values_in_set": [{"column": "p_brand", "valid_values": ["Brand#11", None]}, {"column": "p_name", "valid_values": [1, 2]}],
+    }
+    return quality.run_checks(s.raw("part"), checks).select("check_type", "columns", "passed", "violations")
+
+
+@query
+def dq_offending_values(s: Star) -> DataFrame:
+    checks = {
+        "values_in_set": {"column": "p_brand", "valid_values": ["Brand#11", None]},
+        "referential_integrity": {"column": "p_size", "reference_df": s.raw("nation"), "ref_column": "n_nationkey"},
+    }
+    return quality.offending_values(s.raw("part"), checks)

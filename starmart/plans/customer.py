@@ -68,10 +68,14 @@ def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataF
 def customer_snapshot(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFrame, snapshot_date: str) -> DataFrame:
     """State of every current customer at a date, from the facts up to and including it.
 
-    The bound is applied to ``date_key`` as well, so that Parquet and partition pruning can use it.
+    The bound is applied to ``date_key`` as well, which Parquet's statistics can use, and to ``date_month`` where the
+    facts are partitioned by it, so that later months are not listed or read.
     """
     at = F.to_date(F.lit(snapshot_date))
-    until = facts.where(F.col("date_key") <= D.date_key(at)).select(
+    bound = F.col("date_key") <= D.date_key(at)
+    if "date_month" in facts.columns:
+        bound = bound & (F.col("date_month") <= F.floor(D.date_key(at) / 100).cast("int"))
+    until = facts.where(bound).select(
         "customer_sk", "date_key", "product_sk", "amount", "balance_after"
     )
     dated = with_full_date(until, dim_date, "inner").where(F.col("full_date") <= at)

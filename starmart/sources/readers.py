@@ -37,7 +37,7 @@ def read_csv(
     """Scan CSV files with a header into ``schema``; unparseable fields become NULL.
 
     Columns are matched by header name, file by file, and may be absent. A missing path gives an empty table. A field
-    may hold quotes, written twice; with ``multi_line`` it may hold line ends too, and a file is then read as a whole.
+    may hold quotes, written twice; an empty one is NULL, quoted or not; with ``multi_line`` it may hold line ends too, and a file is then read as a whole.
     With ``load_order`` the row position is kept in :data:`LOAD_ORDER`.
     """
     options = {**CSV_DIALECT, "multiLine": multi_line}

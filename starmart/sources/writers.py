@@ -96,7 +96,8 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 def view_statement(name: str, query: str) -> str:
     """SQL text that creates or replaces a stored view."""
-    return f"CREATE OR REPLACE VIEW `{name}` AS {query}"
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    return f"CREATE OR REPLACE VIEW {quoted} AS {query}"
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -156,3 +156,15 @@ def test_contract_rules_find_violations(spark):
         ("not_null", "customer_sk"): 1, ("unique", "transaction_sk"): 1, ("referential_integrity", "date_key"): 1,
         ("referential_integrity", "product_sk"): 1,
     }
+
+
+def test_one_unusable_check_leaves_the_others(spark):
+    df = spark.sql("SELECT * FROM VALUES ('x'), ('y'), (NULL) t(v)")
+    checks = {
+        "not_null": {"columns": ["v"]}, "regex": {"column": "v", "pattern": r"(?P<y>\d{4})"},
+        "values_in_set": [{"column": "v", "valid_values": ["x", None]}, {"column": "v", "valid_values": [1, 2]}],
+    }
+    got = [(r.check_type, r.passed, r.violations) for r in quality.run_checks(df, checks).orderBy("check_type", "violations").collect()]
+    assert got == [("not_null", False, 1), ("regex", False, None), ("values_in_set", False, 1), ("values_in_set", False, 2)]
+    values = {(r.columns, r.value) for r in quality.offending_values(df, {"values_in_set": checks["values_in_set"][0]}).collect()}
+    assert values == {("v", "y")}

@@ -148,3 +148,24 @@ def test_is_missing_source_distinguishes(spark):
     with pytest.raises(AnalysisException) as other:
         spark.range(1).select("nope")
     assert not readers.is_missing_source(other.value)
+
+
+def test_csv_keeps_hard_text(spark, tmp_path):
+    texts = ["  a ", 'He said ""hi"", ok', 'a "quoted", word', "line\nend", "tab\t", "\\ back", "'"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    writers.write_csv(df, f"{tmp_path}/hard")
+    back = readers.read_csv(spark, f"{tmp_path}/hard", df.schema, multi_line=True)
+    assert {r.id: r.text for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_csv_quotes_are_doubled(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('customer_id,customer_name,city\nC1,"He said ""hi"", ok",Rome\n')
+    row = readers.read_customers(spark, f"{tmp_path}/q.csv").first()
+    assert (row.customer_name, row.city) == ('He said "hi", ok', "Rome")
+
+
+def test_csv_headers_count_file_by_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("customer_id,customer_name,city\n1,Bob,Oslo\n")
+    (tmp_path / "b.csv").write_text("customer_id,city,customer_name\n2,Rome,Ann\n")
+    got = readers.read_customers(spark, f"{tmp_path}/*.csv", load_order=True)
+    assert {(r.customer_id, r.customer_name, r.city) for r in got.collect()} == {("1", "Bob", "Oslo"), ("2", "Ann", "Rome")}

@@ -108,7 +108,7 @@ def test_end_to_end(spark, warehouse, tmp_path):
     history = rows(warehouse.table("dim_customer"), "version", "customer_segment", "gender", "effective_date", "expiry_date")
     day = dt.date(2024, 5, 1)
     assert history == [(1, "Basic", "Female", day, day), (2, "Premium", "Female", dt.date(2024, 5, 2), None)]
-    risk = spark.table("v_churn_risk").first()
+    risk = warehouse.table("v_churn_risk").first()
     assert (risk.total_transactions, risk.churn_status) == (0, "Active")  # history stays with the old version
     exported = spark.read.option("header", True).csv(f"{tmp_path}/out/v_monthly_revenue").first()
     assert (exported.year, exported.month, exported.total_amount) == ("2024", "4", "10.00")
@@ -139,6 +139,43 @@ def test_views_change_nothing(spark, warehouse):
     assert rows(warehouse.table("dim_customer"), "customer_sk", "version") == before
 
 
+def test_stored_views_equal_the_data_frames(spark, warehouse):
+    warehouse.initial_load(source(spark))
+    stored = warehouse.create_views()
+    for name, df in warehouse.views().items():
+        assert stored[name].columns == df.columns
+        assert sorted(map(str, stored[name].collect())) == sorted(map(str, df.collect()))
+
+
+def test_missing_keys_are_rejected_once(spark, warehouse):
+    data = source(spark)
+    nobody = data["dim_customer"].withColumn("customer_id", F.lit(None).cast("string"))
+    nothing = data["dim_product"].withColumn("product_id", F.lit(None).cast("string"))
+    for _ in range(2):
+        warehouse.load_customers(data["dim_customer"].unionByName(nobody))
+        warehouse.load_products(data["dim_product"].unionByName(nothing))
+    assert warehouse.table("dim_customer").where("customer_id IS NULL").isEmpty() and warehouse.table("dim_product").where("product_id IS NULL").isEmpty()
+    assert {(r.table_name, r.columns) for r in warehouse.table("rejected_rows").collect()} == {("dim_customer", "customer_id"), ("dim_product", "product_id")}
+    assert warehouse.table("rejected_rows").count() == nobody.distinct().count() + nothing.distinct().count()
+
+
+def test_strict_loads_reject_broken_rows(spark, warehouse):
+    warehouse.strict = True
+    data = source(spark)
+    data["transactions"] = data["transactions"].withColumn("amount", F.lit("not-a-number"))
+    warehouse.initial_load(data)
+    assert warehouse.table("fact_transactions").isEmpty()
+    assert "amount" in warehouse.table("rejected_rows").where("table_name = 'fact_transactions'").first().columns
+
+
+def test_snapshot_is_loaded_once(spark, warehouse):
+    warehouse.initial_load(source(spark))
+    for _ in range(2):
+        warehouse.load_snapshot("2024-04-30")
+    stored = warehouse.table("fact_customer_snapshot").collect()
+    assert [(r.snapshot_sk, r.date_key, r.total_transactions) for r in stored] == [(1, 20240430, 1)]
+
+
 def test_materialize_all(spark, warehouse):
     warehouse.initial_load(source(spark))
     written = warehouse.materialize()
