@@ -370,7 +370,7 @@ def agg_lookback_counts(s: Star) -> DataFrame:
 
 @query
 def agg_period_compare(s: Star) -> DataFrame:
-    return s.facts.groupBy("customer_sk").agg(*churn.period_comparison(F.col("transaction_date"), AS_OF))
+    return churn.period_comparison(s.facts.groupBy("customer_sk"), F.col("transaction_date"), AS_OF)
 
 
 @query

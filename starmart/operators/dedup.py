@@ -6,6 +6,8 @@ on the map side too, so a key with a third of all rows costs one row per map tas
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 _PICK = "_pick"
@@ -47,6 +49,18 @@ def distinct_counts(df: DataFrame, by: str, counted: str, name: str) -> DataFram
     return pairs.groupBy(by).agg(F.count(F.lit(1)).alias(name))
 
 
+def grouped_with_distinct(
+    df: DataFrame, by: str, counted: str, name: str, parts: dict[str, tuple[Column, Callable[[str], Column]]]
+) -> DataFrame:
+    """Aggregates per key together with a distinct count, in one scan: grouped by (key, value) first, then by key.
+
+    ``parts`` maps a column to the aggregate of its rows and to what merges such aggregates. The distinct count is then
+    a count of rows, and a key with a third of all rows is spread over its values.
+    """
+    inner = df.groupBy(by, counted).agg(*[first.alias(c) for c, (first, _) in parts.items()])
+    return inner.groupBy(by).agg(F.count(counted).alias(name), *[merge(c).alias(c) for c, (_, merge) in parts.items()])
+
+
 def latest_version(dim: DataFrame, natural_key: str = "customer_id", version: str = "version") -> DataFrame:
     """The newest version of each natural key, current or not."""
     return keep_last(dim, natural_key, version)

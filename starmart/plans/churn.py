@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from starmart.functions import dates as D
 from starmart.functions.columns import mean_of, relative_change, with_numbers_or_zero
 from starmart.operators.calendar import with_full_date
-from starmart.operators.dedup import distinct_counts
+from starmart.operators.dedup import grouped_with_distinct
 from starmart.operators.facts import current_customers
 
 # --- fixed values: default thresholds ---------------------------------------------------------------------
@@ -71,50 +71,55 @@ def churn_risk(
     )
 
 
-def period_comparison(day: Column, as_of) -> list[Column]:
-    """Amounts and balances of the last 30 days against the 30 days before, as conditional aggregates."""
+def period_sums(day: Column, as_of) -> dict[str, Column]:
+    """Sums and counts of the last 30 days and of the 30 days before, as conditional aggregates that can be added up."""
     today = D.as_of_date(as_of)
     recent = day >= F.date_sub(today, 30)
     prior = (day >= F.date_sub(today, 60)) & (day < F.date_sub(today, 30))
+    return {
+        f"_{what}_{name}": F.count(picked) if counted else F.sum(picked)
+        for name, condition in (("last", recent), ("prev", prior))
+        for what, column, counted in (("amount", "amount", False), ("balance", "balance_after", False), ("balances", "balance_after", True))
+        for picked in [F.when(condition, F.col(column))]
+    }
 
-    def total(condition, column):
-        return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
-
-    def average(condition, column):
-        picked = F.when(condition, F.col(column))
-        return mean_of(F.sum(picked), F.count(picked))
 
+def _compared() -> list[Column]:
+    """The comparison from its sums and counts."""
     return [
-        total(recent, "amount").alias("amount_last_30d"),
-        total(prior, "amount").alias("amount_prev_30d"),
-        average(recent, "balance_after").alias("avg_balance_last_30d"),
-        average(prior, "balance_after").alias("avg_balance_prev_30d"),
+        *[F.coalesce(f"_amount_{p}", F.lit(0)).alias(f"amount_{p}_30d") for p in ("last", "prev")],
+        *[mean_of(F.col(f"_balance_{p}"), F.col(f"_balances_{p}")).alias(f"avg_balance_{p}_30d") for p in ("last", "prev")],
     ]
 
 
+def period_comparison(grouped: GroupedData, day: Column, as_of) -> DataFrame:
+    """Amounts and balances of the last 30 days against the 30 days before, per group."""
+    sums = period_sums(day, as_of)
+    out = grouped.agg(*[c.alias(n) for n, c in sums.items()])
+    return out.select(*[c for c in out.columns if c not in sums], *_compared())
+
+
 def churn_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFrame, as_of=None) -> DataFrame:
     """Recency, 30/60/90-day activity, amount and balance trends per current customer.
 
     Every count and sum is taken once per transaction, and a customer without transactions has a lifetime count of 0.
     """
     day = F.col("full_date")
-    per_customer = (
-        with_full_date(facts.select("customer_sk", "date_key", "amount", "balance_after"), dim_date)
-        .groupBy("customer_sk")
-        .agg(
-            F.max(day).alias("last_transaction_date"),
-            F.count(day).alias("lifetime_tx_count"),
-            *lookback_counts(day, as_of, WINDOWS, "tx_count_last_"),
-            *period_comparison(day, as_of),
-        )
-    )
+    used = with_full_date(facts.select("customer_sk", "product_sk", "date_key", "amount", "balance_after"), dim_date)
+    lookbacks = lookback_counts(day, as_of, WINDOWS, "tx_count_last_")
+    merged = grouped_with_distinct(used, "customer_sk", "product_sk", "product_count", {
+        "last_transaction_date": (F.max(day), F.max),
+        "lifetime_tx_count": (F.count(day), F.sum),
+        **{f"tx_count_last_{w}d": (count, F.sum) for w, count in zip(WINDOWS, lookbacks, strict=True)},
+        **{name: (total, F.sum) for name, total in period_sums(day, as_of).items()},
+    })
+    per_customer = merged.select("*", *_compared())
     today = D.as_of_date(as_of)
     inactive = F.datediff(today, "last_transaction_date") >= INACTIVE_DAYS
     features = (
         current_customers(dim_customer)
         .select("customer_sk", "customer_id", "income_bracket", "customer_segment", "account_open_date")
         .join(per_customer, "customer_sk", "left")
-        .join(distinct_counts(facts, "customer_sk", "product_sk", "product_count"), "customer_sk", "left")
         .select(
             "customer_sk", "customer_id", "income_bracket", "customer_segment",
             D.tenure_months(F.col("account_open_date"), today).alias("tenure_months"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starmart.functions import dates as D
 from starmart.functions.columns import mean_of, with_numbers_or_zero
 from starmart.operators.calendar import with_full_date
-from starmart.operators.dedup import distinct_counts
+from starmart.operators.dedup import grouped_with_distinct
 from starmart.operators.facts import current_customers
 
 #: Channels that get a transaction count of their own. Fixed values.
@@ -28,21 +28,27 @@ def channel_counts() -> list[Column]:
 
 def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFrame, as_of=None) -> DataFrame:
     """Demographics, totals, spread, recency, holdings and channel use of every current customer."""
-    used = facts.select("customer_sk", "date_key", "transaction_type", "channel", "amount", "balance_after")
-    per_customer = (
-        with_full_date(used, dim_date)
-        .groupBy("customer_sk")
-        .agg(
-            F.count(F.lit(1)).alias("total_transactions"),
-            *credit_debit_totals(),
-            mean_of(F.sum("amount"), F.count("amount")).alias("avg_transaction_amount"),
-            F.stddev_samp(F.col("amount").cast("double")).alias("stddev_transaction_amount"),
-            F.max("full_date").alias("last_transaction_date"),
-            *channel_counts(),
-            mean_of(F.sum("balance_after"), F.count("balance_after")).alias("avg_balance"),
-        )
-    )
-    held = distinct_counts(facts, "customer_sk", "product_sk", "product_count")
+    used = facts.select("customer_sk", "product_sk", "date_key", "transaction_type", "channel", "amount", "balance_after")
+    amount = F.col("amount").cast("double")
+    credits, debits = credit_debit_totals()
+    merged = grouped_with_distinct(with_full_date(used, dim_date), "customer_sk", "product_sk", "product_count", {
+        "total_transactions": (F.count(F.lit(1)), F.sum),
+        "total_credits": (credits, F.sum), "total_debits": (debits, F.sum),
+        "_total": (F.sum("amount"), F.sum), "_n": (F.count("amount"), F.sum),
+        # of the squared distances from the mean: those inside each product, and what shifts them to the common mean
+        "_inside": (F.var_pop(amount) * F.count("amount"), F.sum), "_shift": (F.pow(F.sum(amount), 2) / F.nullif(F.count("amount"), F.lit(0)), F.sum),
+        "_low": (F.min("amount"), F.min), "_high": (F.max("amount"), F.max),
+        "last_transaction_date": (F.max("full_date"), F.max),
+        **{f"{c.lower()}_tx_count": (count, F.sum) for c, count in zip(CHANNELS, channel_counts(), strict=True)},
+        "_balances": (F.sum("balance_after"), F.sum), "_balance_n": (F.count("balance_after"), F.sum),
+    })
+    squares = F.col("_inside") + F.col("_shift") - F.pow(F.col("_total").cast("double"), 2) / F.col("_n")
+    spread = F.when(F.col("_n") > 1, F.when(F.col("_low") == F.col("_high"), 0.0).otherwise(F.sqrt(F.greatest(squares, F.lit(0.0)) / (F.col("_n") - 1))))
+    per_customer = merged.withColumns({
+        "avg_transaction_amount": mean_of(F.col("_total"), F.col("_n")),
+        "stddev_transaction_amount": spread,
+        "avg_balance": mean_of(F.col("_balances"), F.col("_balance_n")),
+    })
     today = D.as_of_date(as_of)
     described = ["customer_sk", "customer_id", "customer_name", "gender", "income_bracket", "customer_segment", "city",
                  "state", "account_open_date", "date_of_birth"]
@@ -50,7 +56,6 @@ def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataF
     features = (
         current_customers(dim_customer).select(*described)
         .join(per_customer, "customer_sk", "left")
-        .join(held, "customer_sk", "left")
         .select(
             *described,
             D.completed_years(F.col("date_of_birth"), today).alias("age"),
@@ -79,20 +84,15 @@ def customer_snapshot(dim_customer: DataFrame, facts: DataFrame, dim_date: DataF
         "customer_sk", "date_key", "product_sk", "amount", "balance_after"
     )
     dated = with_full_date(until, dim_date, "inner").where(F.col("full_date") <= at)
-    per_customer = (
-        dated.groupBy("customer_sk")
-        .agg(
-            F.count(F.lit(1)).alias("total_transactions"),
-            F.sum("amount").alias("total_amount"),
-            mean_of(F.sum("amount"), F.count("amount")).alias("avg_transaction_amount"),
-            F.max("balance_after").alias("account_balance"),
-            F.max("full_date").alias("last_date"),
-        )
-    )
+    per_customer = grouped_with_distinct(dated, "customer_sk", "product_sk", "num_products", {
+        "total_transactions": (F.count(F.lit(1)), F.sum),
+        "total_amount": (F.sum("amount"), F.sum), "_n": (F.count("amount"), F.sum),
+        "account_balance": (F.max("balance_after"), F.max),
+        "last_date": (F.max("full_date"), F.max),
+    }).withColumn("avg_transaction_amount", mean_of(F.col("total_amount"), F.col("_n")))
     snapshot = (
         current_customers(dim_customer).select("customer_sk")
         .join(per_customer, "customer_sk", "left")
-        .join(distinct_counts(dated, "customer_sk", "product_sk", "num_products"), "customer_sk", "left")
         .select(
             D.date_key(at).alias("date_key"),
             "customer_sk", "total_transactions", "total_amount", "avg_transaction_amount", "account_balance",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.columns import mean_of, with_numbers_or_zero
 from starmart.operators.calendar import with_full_date
-from starmart.operators.dedup import distinct_counts
+from starmart.operators.dedup import grouped_with_distinct
 from starmart.operators.facts import current_customers
 
 _MEASURES = ["transaction_count", "customer_count", "total_revenue", "avg_transaction_amount", "avg_balance"]
@@ -15,26 +15,24 @@ _MEASURES = ["transaction_count", "customer_count", "total_revenue", "avg_transa
 def product_performance(dim_product: DataFrame, facts: DataFrame, dim_date: DataFrame, ordered: bool = True) -> DataFrame:
     """Volume, revenue and reach of every active product, sold or not, best revenue first.
 
-    Distinct customers are counted apart from the sums, on (product, customer) pairs that spread a product with a third
-    of all rows over its customers.
+    Facts are grouped by (product, customer) first, which spreads a product with a third of all rows over its customers
+    and makes the distinct customers a count of rows.
     """
-    per_product = (
-        with_full_date(facts.select("product_sk", "date_key", "amount", "balance_after"), dim_date)
-        .groupBy("product_sk")
-        .agg(
-            F.count(F.lit(1)).alias("transaction_count"),
-            F.sum("amount").alias("total_revenue"),
-            mean_of(F.sum("amount"), F.count("amount")).alias("avg_transaction_amount"),
-            mean_of(F.sum("balance_after"), F.count("balance_after")).alias("avg_balance"),
-            F.min("full_date").alias("first_transaction_date"),
-            F.max("full_date").alias("last_transaction_date"),
-        )
-    )
+    used = facts.select("product_sk", "customer_sk", "date_key", "amount", "balance_after")
+    per_product = grouped_with_distinct(with_full_date(used, dim_date), "product_sk", "customer_sk", "customer_count", {
+        "transaction_count": (F.count(F.lit(1)), F.sum),
+        "total_revenue": (F.sum("amount"), F.sum), "_n": (F.count("amount"), F.sum),
+        "_balances": (F.sum("balance_after"), F.sum), "_balance_n": (F.count("balance_after"), F.sum),
+        "first_transaction_date": (F.min("full_date"), F.min),
+        "last_transaction_date": (F.max("full_date"), F.max),
+    }).withColumns({
+        "avg_transaction_amount": mean_of(F.col("total_revenue"), F.col("_n")),
+        "avg_balance": mean_of(F.col("_balances"), F.col("_balance_n")),
+    })
     described = ["product_sk", "product_id", "product_name", "product_category", "product_type"]
-    reach = distinct_counts(facts, "product_sk", "customer_sk", "customer_count")
     out = (
         dim_product.where("is_active").select(*described)
-        .join(per_product, "product_sk", "left").join(reach, "product_sk", "left")
+        .join(per_product, "product_sk", "left")
         .select(
             *described, "transaction_count", "customer_count", "total_revenue", "avg_transaction_amount", "avg_balance",
             "first_transaction_date", "last_transaction_date",

@@ -4,6 +4,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.fixtures import AS_OF, Star
 from starmart.operators import facts as fact_ops, scd2
@@ -38,9 +39,10 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_revenue_reads_five_columns_and_shuffles_once(star):
+def test_revenue_reads_five_columns_and_sums_before_it_joins(star):
     text = plan(revenue.monthly_revenue(star.facts, star.dates, star.products))
-    assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", text)[:2] == ["year", "date_key"] and "SortMergeJoin" not in text
+    assert text.index("partial_sum(amount") > text.rindex("BroadcastHashJoin")
     scan = next(line for line in text.splitlines() if "FileScan" in line and "fee#" in line)
     assert len(re.findall(r"\w+#\d+", scan.split("[", 1)[1].split("]", 1)[0])) == 5
 
@@ -104,3 +106,19 @@ def test_no_python_workers_in_any_plan(star):
         assign_surrogate_keys(star.facts.select("transaction_id"), "transaction_sk", "transaction_id"),
     ):
         assert not re.search("Python|Pandas|Arrow", plan(df))
+
+
+def test_feature_tables_scan_the_facts_once(star):
+    for df in (
+        customer.customer_features(star.customers, star.facts, star.dates, AS_OF),
+        churn.churn_features(star.customers, star.facts, star.dates, AS_OF),
+        customer.customer_snapshot(star.customers, star.facts, star.dates, "1999-06-30"),
+        performance.product_performance(star.products, star.facts, star.dates),
+    ):
+        assert len(re.findall(r"FileScan parquet \[[^\]]*date_key", plan(df))) == 1
+
+
+def test_snapshot_lists_no_later_months(star, spark, tmp_path):
+    star.facts.withColumn("date_month", F.floor(F.col("date_key") / 100).cast("int")).limit(500).write.partitionBy("date_month").parquet(f"{tmp_path}/facts")
+    text = plan(customer.customer_snapshot(star.customers, spark.read.parquet(f"{tmp_path}/facts"), star.dates, "1999-06-30"))
+    assert re.search(r"PartitionFilters: \[[^\]]*date_month", text)
