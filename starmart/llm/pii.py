@@ -9,7 +9,9 @@ texts, n(e) of them holding the value e, n(t) the term t and n(e, t) both,
 
 t discloses e if D reaches `threshold` * I(e): then whoever sees t all but knows e. Such a term is generalised to its
 first letters if these are general enough, that is, if their disclosure of e stays below the threshold; otherwise it is
-removed. Chance meetings are ruled out by a least number of distinct texts in which both stand.
+removed. Chance meetings are ruled out by a least number of independent texts in which both stand. Near copies are not
+independent: they mostly agree in the least hash of their terms, so texts are put in families by it, and what counts is
+the effective number of families (the inverse of the chance that two of the texts are of one family).
 
 All of this is DataFrame functions. Counts are taken over all documents; copies of a text count once.
 """
@@ -24,7 +26,7 @@ from .staging import staged
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-#: Share of a value's information that a term may reveal, and distinct texts in which both must stand to be judged.
+#: Share of a value's information that a term may reveal, and independent texts in which both must stand to be judged.
 THRESHOLD, SUPPORT = 0.9, 5
 #: Letters that a generalised term keeps.
 STEM = 3
@@ -133,9 +135,15 @@ def disclosing_terms(docs: DataFrame, protected: DataFrame, *, threshold: float
     held = staged(protected.join(holders, "value").select("value", "held", "hash").distinct(), "held-values")
     own = F.flatten(F.array(*(F.transform(base_spans(k, F.col("text")), lambda x: x["value"]) for k in KINDS)))
     rest = F.aggregate(own, F.col("text"), lambda t, v: F.replace(t, v, F.lit(" ")))
-    beside = texts.join(held, "hash").select("value", "held", "hash", F.explode(_terms(rest)).alias("term")).withColumn("stem", F.left("term", F.lit(STEM)))
-    together = beside.groupBy("value", "term").agg(F.first("held").alias("held"), F.count_distinct("hash").alias("both"))
-    together = staged(together.where(F.col("both") >= support).withColumn("stem", F.left("term", F.lit(STEM))), "terms-beside-values")
+    told = texts.join(held, "hash").select("value", "held", "hash", _terms(rest).alias("terms"))
+    beside = told.select(
+        "value", "held", "hash", F.array_min(F.transform("terms", lambda t: F.xxhash64(t))).alias("family"), F.explode("terms").alias("term"),
+    ).withColumn("stem", F.left("term", F.lit(STEM)))
+    families = beside.groupBy("value", "term", "family").agg(F.first("held").alias("held"), F.count_distinct("hash").alias("n"))
+    together = families.groupBy("value", "term").agg(
+        F.first("held").alias("held"), F.sum("n").alias("both"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    together = staged(together.where(F.col("both") * F.col("both") >= support * F.col("squares")).select(
+        "value", "term", "held", "both", F.left("term", F.lit(STEM)).alias("stem")), "terms-beside-values")
     stems = beside.groupBy("value", "stem").agg(F.count_distinct("hash").alias("stem_both"))
     wanted = staged(together.select("term").distinct(), "wanted-terms")
     roots = staged(together.select("stem").distinct(), "wanted-stems")

@@ -89,16 +89,20 @@ def test_running_totals_over_strides(spark):
 
 @pytest.fixture(scope="module")
 def telling(spark):
-    rows = [(i, f"w{i}x secret Zorblax met zz@yy.org at unqq{i} commonly") for i in range(8)]
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(40))
+    rows = [(i, f"w{i}x secret Zorblax met zz@yy.org at unqq{i} commonly {own(i)}") for i in range(8)]
+    # near copies around another address: their words are not evidence
+    rows += [(50 + i, f"copied words about qq@yy.org that stay the same in every version number{i}") for i in range(12)]
     rows += [(100 + i, f"filler number {i}abcd commonly seen by comrades") for i in range(300)]
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
 def test_disclosing_terms_follow_the_formula(telling):
     terms = {(r.value, r.term): r.general for r in pii.disclosing_terms(telling, pii.protected_values(telling)).collect()}
-    n, held = 308, 8
+    n, held = 320, 8
     limit = pii.THRESHOLD * math.log2(n / held)
     seen = {"secret": 8, "zorblax": 8, "commonly": 308}
+    assert not any(value == "email:qq@yy.org" for value, _ in terms)
     for term, times in seen.items():
         reveals = math.log2(n * 8 / (held * times)) >= limit
         assert (("email:zz@yy.org", term) in terms) == reveals
@@ -107,7 +111,7 @@ def test_disclosing_terms_follow_the_formula(telling):
 
 def test_sanitising(telling, edge_docs, no_docs):
     out = {r.doc_id: r.text for r in pii.sanitise(telling).collect()}
-    assert out[3] == "w3x [TERM] [TERM] met [EMAIL] at unqq3 commonly" and out[105] == "filler number 5abcd commonly seen by comrades"
+    assert out[3].startswith("w3x [TERM] [TERM] met [EMAIL] at unqq3 commonly own3x0 ") and out[105] == "filler number 5abcd commonly seen by comrades"
     got = pii.sanitise(edge_docs)
     assert got.columns == edge_docs.columns and got.where("email = 'email' and term = 'term'").count() == edge_docs.count()
     texts = {r.doc_id: r.text for r in got.where("doc_id in (3, 4, 9)").collect()}
