@@ -30,6 +30,8 @@ TERM = "term"
 THRESHOLD, SUPPORT = 0.9, 5
 #: Letters that a generalised term keeps.
 STEM = 3
+#: One in so many texts is looked at first, to rule out terms that are too common; the others are counted in all texts.
+SCREEN = 64
 
 # Patterns. Possessive quantifiers and the conditions on what stands before only spare the search useless attempts: they
 # match the same spans as the plain patterns, whose parts cannot be shortened or started later with another outcome.
@@ -127,8 +129,9 @@ def disclosing_terms(docs: DataFrame, protected: DataFrame, *, threshold: float
     """(value, term, general): terms that disclose a protected value; `general` is what stands for the term, empty if it goes.
 
     Only values of at least `support` distinct texts can be judged. The terms of their texts are counted first; the whole
-    corpus is then counted for those terms and their stems. What is joined with the corpus is written before, so that
-    Spark knows its size: it is broadcast below the session's threshold and shuffled beyond.
+    corpus is then counted for those that may still disclose something, and for the stems of those that do. What is joined
+    with the corpus is written before, so that Spark knows its size: it is broadcast below the session's threshold and
+    shuffled beyond.
     """
     texts = docs.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("hash"))
     holders = protected.groupBy("value").agg(F.count_distinct("hash").alias("held")).where(F.col("held") >= support)
@@ -144,24 +147,30 @@ def disclosing_terms(docs: DataFrame, protected: DataFrame, *, threshold: float
         F.first("held").alias("held"), F.sum("n").alias("both"), F.sum(F.col("n") * F.col("n")).alias("squares"))
     together = staged(together.where(F.col("both") * F.col("both") >= support * F.col("squares")).select(
         "value", "term", "held", "both", F.left("term", F.lit(STEM)).alias("stem")), "terms-beside-values")
-    stems = beside.groupBy("value", "stem").agg(F.count_distinct("hash").alias("stem_both"))
-    wanted = staged(together.select("term").distinct(), "wanted-terms")
-    roots = staged(together.select("stem").distinct(), "wanted-stems")
-    words = texts.select("hash", F.explode(_terms(F.col("text"))).alias("term")).withColumn("stem", F.left("term", F.lit(STEM)))
-    near = words.join(roots, "stem", "left_semi").join(wanted.withColumn("wanted", F.lit(True)), "term", "left")
-    near = staged(near.select("hash", "stem", F.when(F.col("wanted"), F.col("term")).alias("term")).distinct(), "near-terms")
-    counted = near.where(F.col("term").isNotNull()).groupBy("term").agg(F.count_distinct("hash").alias("seen"))
-    stem_counts = near.groupBy("stem").agg(F.count_distinct("hash").alias("stem_seen"))
     number = texts.agg(F.count_distinct("hash").alias("n"))
 
     def reveals(both: str, seen: str) -> Column:
         information = F.log2(F.col("n") / F.col("held"))
         return (information > 0) & (F.log2(F.col("n") * F.col(both) / (F.col("held") * F.col(seen))) >= threshold * information)
 
-    judged = together.join(counted, "term").crossJoin(F.broadcast(number)).where(reveals("both", "seen"))  # one number
-    judged = judged.join(stems, ["value", "stem"], "left").join(stem_counts, "stem", "left")
+    # a term that is seen more often than this discloses nothing; one seen so often in a part of the corpus even less
+    most = F.max(F.col("both") * F.pow(F.col("n") / F.col("held"), 1 - threshold))
+    suspects = staged(together.crossJoin(F.broadcast(number)).groupBy("term").agg(most.alias("most")), "suspect-terms")  # one number
+    words = texts.select("hash", F.explode(_terms(F.col("text"))).alias("term"))
+    part = texts.where(F.pmod("hash", F.lit(SCREEN)) == 0).select("hash", F.explode(_terms(F.col("text"))).alias("term"))
+    common = part.join(suspects, "term").groupBy("term").agg(F.count_distinct("hash").alias("seen"), F.first("most").alias("most")).where("seen > most")
+    wanted = staged(suspects.join(common, "term", "left_anti").select("term"), "wanted-terms")
+    counted = words.join(wanted, "term").groupBy("term").agg(F.count_distinct("hash").alias("seen"))
+    judged = staged(together.join(counted, "term").crossJoin(F.broadcast(number)).where(reveals("both", "seen")), "judged-terms")
+    # how general a stem is need not be exact: its texts are counted with a sketch that is merged before the shuffle
+    roots = staged(judged.select("stem").distinct(), "wanted-stems")
+    stems = beside.join(roots, "stem").groupBy("value", "stem").agg(F.count_distinct("hash").alias("stem_both"))
+    each = F.array_distinct(F.transform(_terms(F.col("text")), lambda t: F.left(t, F.lit(STEM))))
+    stem_counts = texts.select("hash", F.explode(each).alias("stem")).join(roots, "stem").groupBy("stem").agg(
+        F.approx_count_distinct("hash", 0.02).alias("stem_seen"))
+    marked = judged.join(stems, ["value", "stem"], "left").join(stem_counts, "stem", "left")
     general = F.when(F.coalesce(reveals("stem_both", "stem_seen"), F.lit(True)), "").otherwise(F.concat("stem", F.lit("*")))
-    return staged(judged.select("value", "term", general.alias("general")), "disclosing-terms")
+    return staged(marked.select("value", "term", general.alias("general")), "disclosing-terms")
 
 
 def all_spans(docs: DataFrame, protected: DataFrame, disclosing: DataFrame) -> DataFrame:
