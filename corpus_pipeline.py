@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import decontamination, jaccard_join, packing, pii, quality_rules
-from starmart.llm.staging import staged
+from starmart.llm.staging import carry_modules, staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -21,6 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each group of linked documents the one of smallest id; of rows that share an id, all."""
+    carry_modules(spark)
     found = jaccard_join.jaccard_components(docs)
     copies = staged(found.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
@@ -28,6 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    carry_modules(spark)
     return decontamination.without_leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
@@ -38,6 +40,7 @@ def mask(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents' tokens in windows of 4096."""
+    carry_modules(spark)
     return packing.pack(docs, with_ids=False)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import chat, decontamination, html_text, jaccard_join, packing, pii, quality_rules, sharding, substring_dedup, token_counts
 from .oracle import ORACLE  # noqa: F401
-from .staging import staged
+from .staging import carry_modules, staged
 
 SHARDS = 24
 
@@ -74,8 +74,17 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
+def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, run where Python workers can import this library."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        carry_modules(spark)
+        return query(spark, folder)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
+    f.__name__: _ready(f) for f in (
         op1_shards, op2_personal_data, op3_token_counts, op4_quality_rules, op5_packed, op6_chat, op7_benchmark_leaks,
         op8_repeated_passages, op9_near_duplicates, op10_page_text, pipeline)
 }

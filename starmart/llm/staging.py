@@ -3,13 +3,38 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.session import scratch_path
 
 
+_carried: set[str] = set()
+
+
+def carry_modules(spark: SparkSession) -> None:
+    """Let the session's Python workers import this library where it is not installed for them.
+
+    The modules are zipped once for an application and handed to Spark, which serves them to every executor.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _carried:
+        return
+    _carried.add(application)
+    package = Path(__file__).resolve().parent.parent
+    if package.suffix or not package.is_dir():  # already imported from an archive
+        return
+    archive = Path(tempfile.mkdtemp(prefix="starmart-modules-")) / "starmart_modules.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a table below the cluster's shared folder and read it back: later steps start from the files."""
     spark = df.sparkSession
