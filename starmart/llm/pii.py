@@ -10,8 +10,9 @@ texts, n(e) of them holding the value e, n(t) the term t and n(e, t) both,
 t discloses e if D reaches `threshold` * I(e): then whoever sees t all but knows e. Such a term is generalised to its
 first letters if these are general enough, that is, if their disclosure of e stays below the threshold; otherwise it is
 removed. Chance meetings are ruled out by a least number of independent texts in which both stand. Near copies are not
-independent: they mostly agree in the least hash of their terms, so texts are put in families by it, and what counts is
-the effective number of families (the inverse of the chance that two of the texts are of one family).
+independent: texts that agree in most of many min-hashes of their word shingles are linked, the components of the links
+are families, and what counts is the number of distinct families. However many copies one family has, they add nothing
+to it and take nothing from the others.
 
 All of this is DataFrame functions. Counts are taken over all documents; copies of a text count once.
 """
@@ -21,13 +22,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import bind, running_total
+from .columns import bind, running_total, words_of
+from .components import components
 from .staging import staged
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 #: Share of a value's information that a term may reveal, and independent texts in which both must stand to be judged.
 THRESHOLD, SUPPORT = 0.9, 5
+#: Near copies: words in a shingle, min-hashes of a text, how many in a row must agree for two texts to be compared, and
+#: how many in all for them to be linked (a similarity of about 0.6).
+SHINGLE, HASHES, BAND, AGREE = 3, 36, 3, 22
 #: Letters that a generalised term keeps.
 STEM = 3
 #: One in so many texts is looked at first, to rule out terms that are too common; the others are counted in all texts.
@@ -125,10 +130,39 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERMS), F.lit(0)))
 
 
+def _signature(text: Column) -> Column:
+    """Min-hashes of a text's word shingles; a text of fewer words is one shingle."""
+    def from_words(w: Column) -> Column:
+        n = F.size(w)
+        windows = F.transform(F.sequence(F.lit(1), F.greatest(n - SHINGLE + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, SHINGLE)))
+        return F.array_distinct(windows)
+
+    least = lambda hashes: F.transform(
+        F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda i: F.array_min(F.transform(hashes, lambda h: F.xxhash64(i, h))))
+    return bind(bind(words_of(F.lower(text)), from_words), least)
+
+
+def near_copies(texts: DataFrame) -> DataFrame:
+    """(hash, family) of those of `texts` (hash, text) that have near copies among them.
+
+    Texts that share a band of min-hashes are compared with the first of them only, so work grows with the texts and not
+    with their pairs; families are the connected components.
+    """
+    signed = staged(texts.groupBy("hash").agg(F.first(_signature(F.col("text"))).alias("signature")), "signatures")
+    bands = F.transform(F.sequence(F.lit(0), F.lit(HASHES // BAND - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * BAND + 1, BAND)))
+    banded = signed.select("hash", "signature", F.explode(bands).alias("band"))
+    firsts = banded.groupBy("band").agg(F.min("hash").alias("first"), F.min_by("signature", "hash").alias("its"), F.count("*").alias("n")).where("n > 1")
+    agreed = F.size(F.filter(F.zip_with("signature", "its", lambda x, y: x == y), lambda same: same))
+    links = banded.join(firsts.drop("n"), "band").where((F.col("hash") != F.col("first")) & (agreed >= AGREE))
+    return components(links.select(F.col("hash").alias("a"), F.col("first").alias("b"))).select(
+        F.col("node").alias("hash"), F.col("component").alias("family"))
+
+
 def disclosing_terms(docs: DataFrame, protected: DataFrame, *, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(value, term, general): terms that disclose a protected value; `general` is what stands for the term, empty if it goes.
 
-    Only values of at least `support` distinct texts can be judged. The terms of their texts are counted first; the whole
+    A term is judged for a value if both stand in texts of at least `support` distinct families, so only values of as many
+    distinct texts can be judged. The terms of their texts are counted first; the whole
     corpus is then counted for those that may still disclose something, and for the stems of those that do. What is joined
     with the corpus is written before, so that Spark knows its size: it is broadcast below the session's threshold and
     shuffled beyond.
@@ -138,14 +172,14 @@ def disclosing_terms(docs: DataFrame, protected: DataFrame, *, threshold: float
     held = staged(protected.join(holders, "value").select("value", "held", "hash").distinct(), "held-values")
     own = F.flatten(F.array(*(F.transform(base_spans(k, F.col("text")), lambda x: x["value"]) for k in KINDS)))
     rest = F.aggregate(own, F.col("text"), lambda t, v: F.replace(t, v, F.lit(" ")))
-    told = texts.join(held, "hash").select("value", "held", "hash", _terms(rest).alias("terms"))
-    beside = told.select(
-        "value", "held", "hash", F.array_min(F.transform("terms", lambda t: F.xxhash64(t))).alias("family"), F.explode("terms").alias("term"),
-    ).withColumn("stem", F.left("term", F.lit(STEM)))
+    copies = staged(near_copies(texts.join(held.select("hash").distinct(), "hash").select("hash", rest.alias("text"))), "near-copies")
+    told = texts.join(held, "hash").join(copies, "hash", "left").select(
+        "value", "held", "hash", F.coalesce("family", "hash").alias("family"), _terms(rest).alias("terms"))
+    beside = told.select("value", "held", "hash", "family", F.explode("terms").alias("term")).withColumn("stem", F.left("term", F.lit(STEM)))
     families = beside.groupBy("value", "term", "family").agg(F.first("held").alias("held"), F.count_distinct("hash").alias("n"))
     together = families.groupBy("value", "term").agg(
-        F.first("held").alias("held"), F.sum("n").alias("both"), F.sum(F.col("n") * F.col("n")).alias("squares"))
-    together = staged(together.where(F.col("both") * F.col("both") >= support * F.col("squares")).select(
+        F.first("held").alias("held"), F.sum("n").alias("both"), F.count("*").alias("families"))
+    together = staged(together.where(F.col("families") >= support).select(
         "value", "term", "held", "both", F.left("term", F.lit(STEM)).alias("stem")), "terms-beside-values")
     number = texts.agg(F.count_distinct("hash").alias("n"))
 

@@ -109,6 +109,26 @@ def test_disclosing_terms_follow_the_formula(telling):
     assert terms[("email:zz@yy.org", "secret")] == "" and not any(t.startswith("unqq") for _, t in terms)
 
 
+def test_families_are_near_copies_and_counted_once(spark):
+    rng = random.Random(12)
+    common = [f"gewoehnlich{i}" for i in range(300)]
+    prose = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    # long independent texts of the same common words, so that nearly all share their least term
+    rows = [(i, f"{prose(1500)} Quorbax wrote from long@yy.org then {prose(20)}") for i in range(6)]
+    # many near copies of one text beside three and beside ten independent ones
+    for at, name, others in ((100, "few@yy.org", 3), (300, "many@yy.org", 10)):
+        body = prose(60)
+        rows += [(at + i, f"{body} Vex{name[:3]} at {name} copy{i}") for i in range(90)]
+        rows += [(at + 90 + i, f"{prose(40)} Vex{name[:3]} at {name}") for i in range(others)]
+    rows += [(1000 + i, f"{prose(30)} end{i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {(r.value, r.term) for r in pii.disclosing_terms(docs, pii.protected_values(docs)).collect()}
+    assert ("email:long@yy.org", "quorbax") in terms and ("email:many@yy.org", "vexman") in terms
+    assert not any(value == "email:few@yy.org" for value, _ in terms)
+    copies = pii.near_copies(docs.select(F.col("doc_id").alias("hash"), "text")).collect()
+    assert {r.family for r in copies} == {100, 300} and len(copies) == 180
+
+
 def test_sanitising(telling, edge_docs, no_docs):
     out = {r.doc_id: r.text for r in pii.sanitise(telling).collect()}
     assert out[3].startswith("w3x [TERM] [TERM] met [EMAIL] at unqq3 commonly own3x0 ") and out[105] == "filler number 5abcd commonly seen by comrades"
