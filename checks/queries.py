@@ -671,8 +671,26 @@ def materialized_row_counts(s: Star) -> DataFrame:
     database, place = scratch_database(s.spark)
     s.spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
     star = StarTables(s.customers, s.products, s.event_dates, s.event_facts)
+    # of the cross-sell features only rows count whose pivots add up to what the customer's sold facts hold
+    held = {"product_category": ("prod_count_", F.count("amount")), "transaction_category": ("cat_spend_", F.sum("amount")), "channel": ("chan_spend_", F.sum("amount"))}
+    sold = s.event_facts.join(s.products.select("product_sk", "product_category"), "product_sk")
+
+    def stored(table: str) -> DataFrame:
+        rows = s.spark.read.table(table)
+        if not table.endswith(".vw_cross_sell_features"):
+            return rows
+        for column, (prefix, measure) in held.items():
+            parts = sold.where(F.col(column).isNotNull()).groupBy("customer_sk", column).agg(measure.alias("part"))
+            whole = parts.groupBy("customer_sk").agg(F.sum("part").alias("whole"), F.count_if(F.coalesce(F.col("part"), F.lit(0)) != 0).alias("filled"))
+            pivot = [F.col(c) for c in rows.columns if c.startswith(prefix)]
+            filled = reduce(lambda a, b: a + b, [F.when(c != 0, 1).otherwise(0) for c in pivot], F.lit(0))
+            total = reduce(lambda a, b: a + b, pivot, F.lit(0))
+            rows = rows.join(whole, "customer_sk", "left").where(
+                (total == F.coalesce("whole", F.lit(0))) & (filled == F.coalesce("filled", F.lit(0)))).drop("whole", "filled")
+        return rows
+
     counts = [
-        s.spark.read.table(t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t.split(".")[1]).alias("table_name"), "n")
+        stored(t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t.split(".")[1]).alias("table_name"), "n")
         for t in materialize_all(star, database, EVENTS_AS_OF)
     ]
     return reduce(DataFrame.unionByName, counts)

@@ -16,10 +16,6 @@ from starmart.operators.facts import current_customers
 # --- fixed values: default thresholds ---------------------------------------------------------------------
 MIN_SUPPORT = 0.01
 AFFINITY_THRESHOLD = 0.1
-# --- fixed values: the values that become columns unless others are given
-PRODUCT_CATEGORIES = ("Savings", "Checking", "Credit Card", "Loan", "Investment")
-TRANSACTION_CATEGORIES = ("Purchase", "Withdrawal", "Deposit", "Fee", "Interest")
-CHANNELS = ("Online", "Mobile", "ATM", "Branch", "POS")
 # ----------------------------------------------------------------------------------------------------------
 
 
@@ -64,21 +60,36 @@ def cross_sell_features(
     facts: DataFrame,
     dim_product: DataFrame,
     as_of=None,
-    product_categories: Sequence[str] = PRODUCT_CATEGORIES,
-    transaction_categories: Sequence[str] = TRANSACTION_CATEGORIES,
-    channels: Sequence[str] = CHANNELS,
+    product_categories: Sequence[str] | None = None,
+    transaction_categories: Sequence[str] | None = None,
+    channels: Sequence[str] | None = None,
 ) -> DataFrame:
     """Owned categories, three pivots and demographics of every current customer with transactions.
 
     All pivots group by customer, so they are conditional aggregates of one grouping: one shuffle of pre-aggregated
     rows in place of a pivot and a join each. Facts are summed by customer, product, category and channel before they
-    meet the products. The value lists become columns; they are part of the table's shape and so are given, not read
-    from the data.
+    meet the products. The value lists become columns. A list that is not given is read from the data, in order; a value
+    that a given list does not hold is an error when the rows are read. NULL has no column.
     """
     used = facts.groupBy("customer_sk", "product_sk", "transaction_category", "channel").agg(
         F.sum("amount").alias("amount"), F.count("amount").alias("_n")
     )
     sold = used.join(dim_product.select("product_sk", "product_category"), "product_sk")
+    given = {"product_category": product_categories, "transaction_category": transaction_categories, "channel": channels}
+    absent = [c for c, values in given.items() if values is None]
+    if absent:
+        held = sold.select(*absent).distinct().select(F.explode(F.array(*(
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in absent))).alias("x"))
+        found = held.select("x.*").where("value IS NOT NULL").distinct().collect()
+        given |= {c: sorted(r.value for r in found if r.column == c) for c in absent}
+    product_categories, transaction_categories, channels = given.values()
+
+    def listed(column: str, values: Sequence[str]) -> Column:
+        known = F.col(column).isNull() | F.col(column).isin(*values)
+        unlisted = F.raise_error(F.concat(F.lit(f"{column} not among the given values: "), F.col(column))).cast("string")
+        return F.when(known, F.col(column)).otherwise(unlisted)
+
+    sold = sold.withColumns({c: listed(c, values) for c, values in given.items() if c not in absent})
 
     def spend(column: str, values: Sequence[str], prefix: str) -> list[Column]:
         return [

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -20,19 +20,20 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class StarTables:
-    """The star schema a feature table reads."""
+    """The star schema a feature table reads, and value lists of the cross-sell features that are not read from it."""
 
     customers: DataFrame
     products: DataFrame
     dates: DataFrame
     facts: DataFrame
+    cross_sell_values: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
 
 #: Table name to builder. Stored tables need no global order, so the sorts of the reports are left out.
 FEATURE_TABLES: dict[str, Callable[[StarTables, object], DataFrame]] = {
     "vw_customer_features": lambda s, at: customer_features(s.customers, s.facts, s.dates, at),
     "vw_churn_features": lambda s, at: churn_features(s.customers, s.facts, s.dates, at),
-    "vw_cross_sell_features": lambda s, at: cross_sell_features(s.customers, s.facts, s.products, at),
+    "vw_cross_sell_features": lambda s, at: cross_sell_features(s.customers, s.facts, s.products, at, **s.cross_sell_values),
     "vw_product_performance": lambda s, at: product_performance(s.products, s.facts, s.dates, ordered=False),
     "vw_regional_analysis": lambda s, at: regional_analysis(s.facts, s.customers, ordered=False),
     "vw_fraud_detection_features": lambda s, at: fraud_features(s.facts, s.dates, ordered=False),

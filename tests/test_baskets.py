@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators import baskets
 from starmart.plans.cross_sell import cross_sell_affinity, cross_sell_features
+from starmart.plans.registry import FEATURE_TABLES, StarTables
 
 
 def make_facts(seed=3):
@@ -129,3 +130,17 @@ def test_cross_sell_features(spark):
         "chan_spend_ATM": 5, "chan_spend_POS": 7, "income_bracket": "hi", "age_group": "26-35",
     }
     assert rows[2]["prod_count_Card"] == 0 and rows[2]["age_group"] == "18-25" and rows[2]["cat_spend_Fee"] == 0
+
+
+def test_cross_sell_features_hold_every_value(spark):
+    customers = spark.sql("SELECT 1L customer_sk, 'hi' income_bracket, DATE'1990-01-01' date_of_birth, true is_current")
+    products = spark.sql("SELECT * FROM VALUES (1L, 'ECONOMY'), (2L, 'Loan') t(product_sk, product_category)")
+    facts = spark.sql("""SELECT 1L customer_sk, product_sk, kind AS transaction_category, channel, CAST(amount AS DECIMAL(15,2)) AS amount
+        FROM VALUES (1L, 'Fee', 'Telex', 5), (2L, 'Tip', 'POS', 7), (2L, NULL, 'POS', 9) t(product_sk, kind, channel, amount)""")
+    star = StarTables(customers, products, customers, facts)
+    row = FEATURE_TABLES["vw_cross_sell_features"](star, "2020-01-01").first().asDict()
+    assert {k: v for k, v in row.items() if k[:4] in ("prod", "cat_", "chan")} == {
+        "prod_count_ECONOMY": 1, "prod_count_Loan": 2, "cat_spend_Fee": 5, "cat_spend_Tip": 7, "chan_spend_POS": 16, "chan_spend_Telex": 5}
+    given = StarTables(customers, products, customers, facts, {"channels": ["POS"]})
+    with pytest.raises(Exception, match="channel not among the given values: Telex"):
+        FEATURE_TABLES["vw_cross_sell_features"](given, "2020-01-01").collect()
