@@ -1,12 +1,16 @@
 """Quality rules whose cutoffs come with a guarantee on labelled documents.
 
-Each rule rejects a document whose measure lies beyond a cutoff. For every stratum and rule the cutoffs of a fixed list
-are tried from the mildest on. A cutoff is certified if the exact binomial test on the labelled good documents of the
-stratum shows that it rejects at most its share of the risk, at a confidence divided among all strata and rules
-(Bonferroni); inside a list the first failure ends the trial, so the list needs no further correction and all certified
-cutoffs hold together. Of these the one is used that rejects the most bad labelled documents, less `PRICE` times the good
-ones; if none gains, the rule rejects nothing there. By the union over rules the false rejections of each stratum stay
-below `risk`, in all strata at once, with probability 1 - `error`.
+Each rule rejects a document whose measure lies beyond a cutoff, from a fixed list. In every stratum all the cutoffs of all
+rules form one path: each step moves one rule to its next stricter cutoff, and steps that reject many bad labelled
+documents among few others come first. The order is taken from the documents that are not labelled good, so it is fixed
+before the good ones are looked at. After each step the union of the rules is tried: it is certified if the exact binomial
+test on the labelled good documents shows that it rejects at most `risk` of them, at an error divided among the strata
+(Bonferroni). The first failure ends the path, so the path needs no further correction and all certified steps hold
+together. Of these the one is used that rejects the most bad labelled documents, less `PRICE` times the good ones; if none
+gains, nothing is rejected there. So the false rejections of each stratum stay below `risk`, in all strata at once, with
+probability 1 - `error`. With four strata 86 good documents suffice if none of them is rejected, and fewer certify nothing.
+
+`certified_cutoffs` is the stricter choice with a separate test, and an equal share of risk and error, for every rule.
 
 Everything is DataFrame expressions. Documents are measured row by row without a shuffle; only counts per stratum are
 aggregated.
@@ -121,8 +125,7 @@ def certified_cutoffs(rows: DataFrame, labels: DataFrame, *, stratum: str, rules
     `rows` are measured documents that passed the base checks; `labels` has doc_id and quality, of which 1 is good. Of a
     document labelled several times the lowest quality counts; a NULL stratum is one of its own.
     """
-    marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("__q"))
-    held = rows.where(~F.col("base_failed")).join(marks, "doc_id")
+    held = rows.where(~F.col("base_failed")).join(_marks(labels), "doc_id")
     good = F.col("__q") == 1
     counted = held.groupBy(F.coalesce(F.col(stratum), F.lit("")).alias("__stratum")).agg(
         F.count_if(good).alias("n"),
@@ -146,6 +149,62 @@ def certified_cutoffs(rows: DataFrame, labels: DataFrame, *, stratum: str, rules
     return best.groupBy("__stratum").agg(*(F.max(F.when(F.col("rule") == r.name, F.col("cutoff"))).alias(f"__{r.name}") for r in rules))
 
 
+def _marks(labels: DataFrame) -> DataFrame:
+    """(doc_id, __q): the lowest quality of a document."""
+    return labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("__q"))
+
+
+def certified_union(rows: DataFrame, labels: DataFrame, *, stratum: str, rules=RULES, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """Like :func:`certified_cutoffs`, but all rules of a stratum are tried together, against the whole risk."""
+    marked = rows.where(~F.col("base_failed")).withColumn("__stratum", F.coalesce(F.col(stratum), F.lit(""))).join(_marks(labels), "doc_id", "left")
+    other, bad = F.coalesce(F.col("__q") != 1, F.lit(True)), F.col("__q") != 1
+    beyond = [[F.expr(r.measure) > c for c in r.cutoffs] for r in rules]
+    counted = marked.groupBy("__stratum").agg(
+        F.count_if(F.col("__q") == 1).alias("n"), F.count_if(other).alias("others"), F.count_if(bad).alias("bad"),
+        *(F.array(*(F.count_if(x & q) for x in beyond[i])).alias(f"{name}{i}") for i in range(len(rules)) for name, q in (("o", other), ("b", bad)))
+    ).where(F.col("n") > 0)
+
+    def steps(i: int) -> Column:
+        """(minus the score, cutoff, rule) of the steps of a rule, scores never growing towards the stricter ones."""
+        gained = lambda counts, at: F.get(counts, at) - F.coalesce(F.get(counts, at - 1), F.lit(0))
+        score = lambda at: F.when(gained(f"o{i}", at) == 0, F.lit(float("inf"))).otherwise(
+            F.try_divide(gained(f"b{i}", at) * F.col("others"), gained(f"o{i}", at) * F.col("bad")))
+        levels = F.sequence(F.lit(0), F.lit(len(rules[i].cutoffs) - 1))
+        scores = F.transform(levels, lambda at: F.coalesce(score(at), F.lit(0.0)))
+        return bind(scores, lambda s: F.transform(levels, lambda at: F.struct(
+            (-F.array_min(F.slice(s, 1, at + 1))).alias("order"), at.alias("at"), F.lit(i).alias("rule"))))
+
+    paths = counted.withColumn("path", F.sort_array(F.flatten(F.array(*(steps(i) for i in range(len(rules)))))))
+    places = lambda i: F.transform(
+        F.filter(F.transform("path", lambda x, at: F.struct(x["rule"].alias("rule"), at.alias("at"))), lambda x: x["rule"] == i), lambda x: x["at"])
+    paths = staged(paths.select(
+        "__stratum", "n", F.size("path").alias("steps"), *(places(i).alias(f"p{i}") for i in range(len(rules))), *(f"b{i}" for i in range(len(rules)))), "rule-paths")
+    # the step of the path at which a document is first rejected; the number of steps if it never is
+    mildest = lambda i: F.coalesce(*(F.when(x, F.lit(at)) for at, x in enumerate(beyond[i])))
+    first = F.least(*(F.get(f"p{i}", mildest(i)) for i in range(len(rules))), F.col("steps"))
+    tried = marked.where("__q IS NOT NULL").join(paths, "__stratum").groupBy("__stratum", first.alias("at")).agg(
+        F.count_if(F.col("__q") == 1).alias("good"), F.count_if(bad).alias("bad"))
+    # at most one entry for each step
+    found = tried.groupBy("__stratum").agg(F.collect_list(F.struct("at", "good", "bad")).alias("found")).join(paths, "__stratum")
+    number = paths.agg(F.count("*").alias("strata"))
+    upto = lambda at, name: array_total(F.transform(F.filter("found", lambda x: x["at"] <= at), lambda x: x[name]))
+    sums = F.transform(F.sequence(F.lit(0), F.col("steps") - 1), lambda at: F.struct(upto(at, "good").alias("good"), upto(at, "bad").alias("bad")))
+    sums = found.crossJoin(F.broadcast(number)).withColumn("sums", sums)  # one number
+    passed = F.transform("sums", lambda x: (x["good"] < F.col("n") * risk) & (binomial_tail(x["good"], F.col("n"), risk) <= F.lit(error) / F.col("strata")))
+    failure = F.array_position(passed, False)
+    certified = F.when(failure == 0, F.col("steps")).otherwise(failure - 1).cast("int")
+    gains = F.transform(F.slice("sums", F.lit(1), certified), lambda x: x["bad"] - PRICE * x["good"])
+    chosen = sums.withColumn("gains", gains).withColumn("most", F.array_max("gains")).withColumn(
+        "chosen", F.when(F.col("most") > 0, F.array_position("gains", F.col("most")).cast("int") - 1))
+
+    def cutoff(i: int, rule: Rule) -> Column:
+        """The mildest cutoff that catches as many bad documents as the strictest one up to the chosen step."""
+        caught = F.get(f"b{i}", F.size(F.filter(f"p{i}", lambda at: at <= F.col("chosen"))) - 1)
+        return F.when(caught > 0, F.get(F.array(*(F.lit(c) for c in rule.cutoffs)), F.array_position(f"b{i}", caught).cast("int") - 1))
+
+    return chosen.select("__stratum", *(cutoff(i, r).alias(f"__{r.name}") for i, r in enumerate(rules)))
+
+
 def judged(rows: DataFrame, cutoffs: DataFrame, *, stratum: str, rules=RULES) -> DataFrame:
     """Measured rows with `kept`: the base checks passed and no measure beyond its stratum's cutoff."""
     joined = rows.withColumn("__stratum", F.coalesce(F.col(stratum), F.lit(""))).join(cutoffs, "__stratum", "left")
@@ -164,13 +223,13 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang
     """
     slim = measured(docs.select("doc_id", F.col(stratum).cast("string").alias("__s"), "text")).drop("text")
     rows = staged(slim, "quality-measures")
-    return judged(rows, certified_cutoffs(rows, labels, stratum="__s", **options), stratum="__s").drop("__s")
+    return judged(rows, certified_union(rows, labels, stratum="__s", **options), stratum="__s").drop("__s")
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", **options) -> DataFrame:
     """The rows of `docs` that are kept, all their columns unchanged. Texts are measured twice rather than shuffled."""
     slim = staged(measured(docs.select("doc_id", F.col(stratum).cast("string").alias("__s"), "text")).drop("text"), "quality-measures")
-    cutoffs = certified_cutoffs(slim, labels, stratum="__s", **options)
+    cutoffs = certified_union(slim, labels, stratum="__s", **options)
     rows = measured(docs.select(F.struct(*docs.columns).alias("__row"), F.col(stratum).cast("string").alias("__s"), "text"))
     # a filter on `kept` would be pushed below the measures and compute them once for each mention
     held = judged(rows, cutoffs, stratum="__s").select(F.explode_outer(F.when(F.col("kept"), F.array("__row"))).alias("__kept"))

@@ -189,6 +189,25 @@ def test_cutoffs_are_certified_and_pay(spark):
     assert kept.where("s = 'x' and kept = (n_symbols = 80)").count() == 0 and kept.where("s is null and not kept").count() == 0
 
 
+def test_union_of_rules_is_certified_on_few_labels(spark):
+    rows, labels = [], []
+    for s, good, each in (("a", 300, 1), ("b", 100, 1), ("c", 80, 1), ("d", 400, 8)):
+        for i in range(good + 60):
+            bad, at = i >= good, len(rows)  # the number of rows so far serves as id
+            # symbols tell the bad apart; in d one good document in 8 has as many
+            symbols = 80 if bad or each > 1 and i % each == 0 else 1
+            rows.append((at, s, 100, 500, symbols, 10, 7 if bad and i % 2 else 0, 0, False))
+            labels.append((at, 0 if bad else 1, 0))
+            rows += [(100_000 + 2 * at + k, *rows[at][1:]) for k in range(2) if not bad]  # without a label
+    df = spark.createDataFrame(rows, "doc_id long, s string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, base_failed boolean")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r["__stratum"]: r.asDict() for r in quality_rules.certified_union(df, marks, stratum="s").collect()}
+    assert [got[s]["__symbols"] for s in "abcd"] == [0.5, 0.5, None, None]  # 80 are too few, and in d the rule is wrong
+    assert got["d"]["__repeated_lines"] == 0.6 and all(got[s]["__long_words"] is None for s in "abcd")
+    kept = quality_rules.judged(df, quality_rules.certified_union(df, marks, stratum="s"), stratum="s").join(marks, "doc_id")
+    assert kept.where("s in ('a', 'b') and kept = (quality = 0)").count() == 0 and kept.where("quality = 1 and not kept").count() == 0
+
+
 def test_quality_edge_rows(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (7, 0, 0), (7, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     verdicts = quality_rules.quality_verdicts(edge_docs, labels)
