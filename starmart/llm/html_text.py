@@ -2,7 +2,8 @@
 
 Markup is stripped so that every block element becomes a line. A line weighs its text outside links; whatever is certainly
 not main text (scripts, menus, forms, notices) weighs nothing and leaves a gap of empty lines where it separates parts of
-the page. Weights are summed over sliding windows of lines. Around the heaviest window the text surges where the windows
+the page; an advert or notice between lines of one container does not. If the page marks its article or main content, all
+other lines of it are kept. Else weights are summed over sliding windows of lines. Around the heaviest window the text surges where the windows
 to its left become empty and dives where those to its right do; the lines between are kept.
 """
 
@@ -33,6 +34,13 @@ UNWANTED = frozenset(
     "ad ads adbox adslot advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments commentlist cookie cookies "
     "consent disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices overlay pagination popup promo "
     "promotion related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe teaser toolbar widget".split())
+#: Of these the ones that part a page wherever they stand; the others are adverts and notices.
+PARTING = frozenset("footer header masthead menu nav".split())
+PARTING_NAMES = frozenset(
+    "breadcrumb breadcrumbs comment comments commentlist disqus footer header masthead menu nav navbar navigation pagination replies respond "
+    "sidebar toolbar".split())
+#: Elements whose lines belong together.
+CONTAINERS = frozenset("blockquote center div section td th".split())
 UNWANTED_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 _TOKEN = re.compile(
@@ -60,6 +68,19 @@ def _unwanted(name: str, attributes: str) -> bool:
     return False
 
 
+def _parting(name: str, attributes: str) -> bool:
+    """Whether an unwanted element parts the page wherever it stands."""
+    if name in PARTING:
+        return True
+    for key, value in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), value.strip("\"'")
+        if key == "role" and value.lower() in ("contentinfo", "menu", "menubar", "navigation", "toolbar"):
+            return True
+        if key in ("class", "id") and not PARTING_NAMES.isdisjoint(w.lower() for w in _NAME.findall(_CAMEL.sub(" ", value))):
+            return True
+    return False
+
+
 class Lines:
     """The lines of a page, with weights, and whether they lie in an article or main element."""
 
@@ -70,12 +91,19 @@ class Lines:
         self._parts: list[str] = []
         self._free = 0  # code points outside links
         self._in_main = self._links = 0
+        self._open: list[tuple[str, int]] = [("", 0)]  # containers, with numbers
+        self._numbers = 0
+        self._last, self._notice = 0, False  # the last line's container, and whether a notice came after it
         self._read(page)
         self._line()
 
     def _line(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
+            within = self._open[-1][1]
+            if self._notice and within != self._last:
+                self._space()
+            self._last, self._notice = within, False
             self.texts.append(text)
             self.weights.append(max(1, self._free) if self._free else 0)
             self.main.append(self._in_main > 0)
@@ -83,6 +111,9 @@ class Lines:
 
     def _gap(self) -> None:
         self._line()
+        self._space()
+
+    def _space(self) -> None:
         for _ in range(WINDOW):
             self.texts.append("")
             self.weights.append(0)
@@ -133,13 +164,22 @@ class Lines:
                     name == "header" or _unwanted(name, attributes)):
                 if self._in_main:
                     self._line()
-                else:
+                elif _parting(name, attributes):
                     self._gap()
+                else:
+                    self._line()
+                    self._notice = True
                 skipped, depth = name, 1
             elif name == "a":
                 self._links = 0 if closing else 1
             elif name in BLOCKS:
                 self._line()
+                if name in CONTAINERS and not closing:
+                    self._numbers += 1
+                    self._open.append((name, self._numbers))
+                elif name in CONTAINERS and any(name == x for x, _ in self._open):
+                    while self._open.pop()[0] != name:
+                        pass
 
 
 def main_text(page: str | None) -> str:
@@ -149,7 +189,7 @@ def main_text(page: str | None) -> str:
     lines = Lines(page)
     texts, weights = lines.texts, lines.weights
     if any(m and t for m, t in zip(lines.main, texts, strict=True)):  # the page says where its article is
-        weights = [len(t) if m else 0 for t, m in zip(texts, lines.main, strict=True)]
+        return "\n".join(t for t, m in zip(texts, lines.main, strict=True) if m and t)
     if not any(weights):
         return ""
     n = len(weights)

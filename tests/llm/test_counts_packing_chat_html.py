@@ -181,3 +181,13 @@ def test_page_rows(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text", "0 as n_chars")
     assert sorted((r.page_id or 0, r.n_chars) for r in html_text.extract(df).collect()) == [(0, 1), (1, 0), (1, 999_999)]
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_wanted_text_is_not_lost_for_being_short():
+    long = "A sentence of the article that goes on for a while. " * 20
+    inside = html_text.main_text(f"<body><main><h1>Title</h1><article>{long}</article><div class=ad>buy</div><article>Short.</article></main><p>foot</p></body>")
+    assert inside.split("\n") == ["Title", long.strip(), "Short."]
+    plain = html_text.main_text(f"<body><div id=text><p>{long}</p><div class=advert><p>buy now</p></div><p>The end.</p></div><footer>x</footer></body>")
+    assert plain.split("\n") == [long.strip(), "The end."]
+    other = html_text.main_text(f"<body><div id=text><p>{long}</p></div><div class=advert>buy</div><div>About us</div></body>")
+    assert other == long.strip()
