@@ -202,7 +202,8 @@ def certified_union(rows: DataFrame, labels: DataFrame, *, stratum: str, rules=R
         caught = F.get(f"b{i}", F.size(F.filter(f"p{i}", lambda at: at <= F.col("chosen"))) - 1)
         return F.when(caught > 0, F.get(F.array(*(F.lit(c) for c in rule.cutoffs)), F.array_position(f"b{i}", caught).cast("int") - 1))
 
-    return chosen.select("__stratum", *(cutoff(i, r).alias(f"__{r.name}") for i, r in enumerate(rules)))
+    # written, so that Spark knows its size and does not deal the documents by their few strata
+    return staged(chosen.select("__stratum", *(cutoff(i, r).alias(f"__{r.name}") for i, r in enumerate(rules))), "cutoffs")
 
 
 def judged(rows: DataFrame, cutoffs: DataFrame, *, stratum: str, rules=RULES) -> DataFrame:
