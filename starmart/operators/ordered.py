@@ -1,9 +1,9 @@
-"""Per-key operations in time order that do not put all rows of a key into one task.
+"""Per-key operations in row order, as a prefix scan: a key's rows never have to lie in one task.
 
-Each key is cut into slices that follow the order (by default its rows of one hour). The window runs inside a slice,
-and a small per-slice summary carries the state from the slices before: first a map-side-combined aggregate, then a
-window over the slices of a key, whose number is bounded by the calendar and not by the rows. The window and the join
-back share one hash partitioning on (key, slice), so the rows themselves are shuffled once.
+The rows are range-partitioned by (key, order) and written; each partition is a run of the global order. Windows work
+inside (run, key). What a run has to know of the runs before it is carried by a summary of one row per (run, key): a key
+that continues from the run before is the first one of its run, so at most one carry row per run is joined back. Rows
+without a time, or any number of rows of one time, are cut like all others.
 """
 
 from __future__ import annotations
@@ -12,69 +12,105 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Sorts after every real day; rows without a time come last.
-_NO_DAY = "9999-12-31"
+from starmart.session import staged
 
-SLICE_DAY, SLICE_HOUR = "_slice_day", "_slice_hour"
-SLICE = [SLICE_DAY, SLICE_HOUR]
+RUN = "_run"
+_CARRY, _KEY, _AT = "_carry", "_carry_key", "_carry_run"
 
 
-def with_time_slice(df: DataFrame, time: str) -> DataFrame:
-    """Add the default slice columns: day and hour of ``time``."""
-    return df.withColumns({
-        SLICE_DAY: F.coalesce(F.to_date(time), F.lit(_NO_DAY).cast("date")),
-        SLICE_HOUR: F.coalesce(F.hour(time), F.lit(0)),
-    })
+def in_runs(df: DataFrame, key: str, order: Sequence[str], runs: int | None = None) -> DataFrame:
+    """The rows with their run of the order (key, ``order``), NULL last; written, so that every reader sees the same runs.
+
+    ``runs`` defaults to the session's shuffle partitions, fewer where adaptive execution finds little data.
+    """
+    by = [F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_last() for c in order]]
+    placed = df.repartitionByRange(runs, *by) if runs else df.repartitionByRange(*by)
+    return staged(placed.withColumn(RUN, F.spark_partition_id()), "runs")
 
 
-def in_slice(key: str, order: Sequence[str], slices: Sequence[str] = SLICE):
-    return Window.partitionBy(key, *slices).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+def inside(key: str, order: Sequence[str]):
+    """The rows of a key inside one run, in order."""
+    return Window.partitionBy(RUN, key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
 
 
-def slices_before(key: str, slices: Sequence[str] = SLICE):
-    return Window.partitionBy(key).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
+def _up_to_here(key: str, order: Sequence[str]):
+    return inside(key, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _sliced(df: DataFrame, time: str, slices: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
-    if slices:
-        return df, list(slices)
-    return with_time_slice(df, time), SLICE
+def _with_carry(rows: DataFrame, key: str, summary: Column, carry) -> DataFrame:
+    """Add what ``carry`` makes of the summaries of the key's earlier runs; NULL in the key's first run."""
+    runs = Window.partitionBy(key).orderBy(RUN)
+    continued = (
+        rows.groupBy(key, RUN).agg(summary.alias("_summary"))
+        .select(F.col(key).alias(_KEY), F.col(RUN).alias(_AT), carry(F.col("_summary"), runs).alias(_CARRY), F.row_number().over(runs).alias("_nth"))
+        .where("_nth > 1").drop("_nth")
+    )
+    # at most one row per run
+    met = rows.join(F.broadcast(continued), F.col(key).eqNullSafe(F.col(_KEY)) & (F.col(RUN) == F.col(_AT)), "left")
+    return met.drop(_KEY, _AT)
 
 
-def with_previous(
-    df: DataFrame, key: str, time: str, tie_break: str, name: str, slices: Sequence[str] | None = None
-) -> DataFrame:
+def _before(runs):
+    return runs.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def with_previous(df: DataFrame, key: str, time: str, tie_break: str, name: str, runs: int | None = None) -> DataFrame:
     """Add the previous ``time`` of the same key, in (time, tie_break) order; NULL for the first row.
 
-    ``slices`` may name finer slice columns. They must be non-NULL and must not contradict the row order.
+    Rows without a time come last, and the row after one of them has no previous time.
     """
-    rows, cut = _sliced(df, time, slices)
-    carried = (
-        rows.groupBy(key, *cut).agg(F.max(time).alias("_last"))
-        .withColumn("_carry", F.max("_last").over(slices_before(key, cut)))
-        .select(key, *cut, "_carry")
-    )
-    inside = F.lag(time).over(in_slice(key, [time, tie_break], cut))
-    first = F.row_number().over(in_slice(key, [time, tie_break], cut)) == 1
-    out = rows.withColumns({"_inside": inside, "_first": first}).join(carried, [key, *cut], "left")
-    value = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_inside"))
-    return out.withColumn(name, value).select(*df.columns, name)
+    order = [time, tie_break]
+    last = F.when(F.count_if(F.col(time).isNull()) == 0, F.max(time))
+    rows = _with_carry(in_runs(df, key, order, runs), key, last, lambda s, over: F.lag(s).over(over))
+    window = inside(key, order)
+    value = F.when(F.row_number().over(window) == 1, F.col(_CARRY)).otherwise(F.lag(time).over(window))
+    return rows.withColumn(name, value).select(*df.columns, name)
 
 
 def with_running_sum(
-    df: DataFrame, key: str, time: str, tie_break: str, value: Column, name: str,
-    slices: Sequence[str] | None = None,
+    df: DataFrame, key: str, time: str, tie_break: str, value: Column, name: str, runs: int | None = None
 ) -> DataFrame:
     """Add the running total of ``value`` per key in (time, tie_break) order, the current row included.
 
-    Give ``value`` as a decimal: the total is then exact whatever the slicing.
+    Give ``value`` as a decimal: the total is then exact wherever the runs are cut. NULL adds nothing; while a key has
+    had no value its total is NULL.
     """
-    rows, cut = _sliced(df.withColumn("_value", value), time, slices)
-    carried = (
-        rows.groupBy(key, *cut).agg(F.sum("_value").alias("_total"))
-        .withColumn("_carry", F.coalesce(F.sum("_total").over(slices_before(key, cut)), F.lit(0)))
-        .select(key, *cut, "_carry")
-    )
-    window = in_slice(key, [time, tie_break], cut).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = rows.withColumn("_inside", F.sum("_value").over(window)).join(carried, [key, *cut], "left")
-    return out.withColumn(name, F.col("_carry") + F.col("_inside")).select(*df.columns, name)
+    order = [time, tie_break]
+    rows = in_runs(df.withColumn("_value", value), key, order, runs)
+    carried = _with_carry(rows, key, F.sum("_value"), lambda s, over: F.sum(s).over(_before(over)))
+    here = F.sum("_value").over(_up_to_here(key, order))
+    total = F.coalesce(F.col(_CARRY) + here, here, F.col(_CARRY))
+    return carried.withColumn(name, total).select(*df.columns, name)
+
+
+def with_position(df: DataFrame, key: str, order: Sequence[str], name: str, runs: int | None = None) -> DataFrame:
+    """Add the number of the key's rows before each row, in ``order``; the order must tell any two rows apart or they are equal."""
+    rows = in_runs(df, key, order, runs)
+    carried = _with_carry(rows, key, F.count(F.lit(1)), lambda s, over: F.sum(s).over(_before(over)))
+    at = F.coalesce(F.col(_CARRY), F.lit(0)) + F.row_number().over(inside(key, order)) - 1
+    return carried.withColumn(name, at.cast("long")).select(*df.columns, name)
+
+
+def as_of(
+    events: DataFrame, versions: DataFrame, key: str, time: str, since: str, values: Sequence[str], runs: int | None = None
+) -> DataFrame:
+    """Each event with ``values`` of the key's last version whose ``since`` is not after the event's ``time``.
+
+    Events and versions are merged into one ordered scan: no join, and neither side of a hot key is gathered. An event
+    before the first version, or without a time or a key, has NULL values. Of versions with one ``since`` the last by its
+    values counts.
+    """
+    version = F.struct(*values)
+    kinds = events.withColumns({"_at": F.col(time), "_rank": F.lit(1), "_version": F.lit(None).cast(versions.select(version).schema[0].dataType)})
+    known = versions.where(F.col(key).isNotNull() & F.col(since).isNotNull()).select(
+        key, F.col(since).cast(events.schema[time].dataType).alias("_at"), F.lit(0).alias("_rank"), version.alias("_version"))
+    order = ["_at", "_rank", "_version"]
+    rows = in_runs(kinds.unionByName(known, allowMissingColumns=True), key, order, runs)
+    newest = F.last("_version", ignorenulls=True)
+    # in order, a run's last version is its largest (since, values)
+    summary = F.max(F.when(F.col("_version").isNotNull(), F.struct("_at", "_version")))["_version"]
+    carried = _with_carry(rows, key, summary, lambda s, over: F.last(s, ignorenulls=True).over(_before(over)))
+    bound = F.coalesce(newest.over(_up_to_here(key, order)), F.col(_CARRY))
+    found = F.when(F.col("_at").isNotNull() & F.col(key).isNotNull(), bound)
+    out = carried.withColumn("_found", found).where("_rank = 1")
+    return out.select(*events.columns, *[F.col(f"_found.`{v}`").alias(v) for v in values])

@@ -1,9 +1,8 @@
 """Fraud features per transaction.
 
-One narrow aggregate of the facts per (customer, hour slice) yields the customer's mean and spread, the hourly velocity
-and the time of the last transaction before each slice. The rows themselves are shuffled once, on (customer, slice),
-for the lag inside the slice and the join with that aggregate, so a customer with a third of all rows is spread over
-the hours in which the transactions took place.
+One narrow aggregate of the facts per customer and hour of the day yields the customer's mean and spread and the hourly
+velocity. The gap to the previous transaction comes from the prefix scan of :mod:`starmart.operators.ordered`, so a
+customer with a third of all rows, or with any number of rows of one moment, is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -13,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from starmart.functions.columns import mean_of, number_or_zero, ratio, zscore
 from starmart.functions.dates import elapsed_seconds
 from starmart.operators.calendar import with_full_date
-from starmart.operators.ordered import SLICE, SLICE_HOUR, in_slice, slices_before, with_time_slice
+from starmart.operators.ordered import with_previous
 
-_KEY = "customer_sk"
+_KEY, _HOUR = "customer_sk", "_hour"
 
 
 def merchant_risk(facts: DataFrame) -> DataFrame:
@@ -54,14 +53,14 @@ def amount_stats(facts: DataFrame) -> DataFrame:
     )
 
 
-def _slice_statistics(sliced: DataFrame) -> DataFrame:
-    """One row per (customer, slice) with everything the features need from other rows.
+def _statistics(facts: DataFrame) -> DataFrame:
+    """One row per customer and hour of the day: the customer's mean and spread, and the velocity in that hour.
 
-    Slice means and variances are merged into those of the customer by the parallel variance formula (Chan et al.
+    Means and variances of the hours are merged into those of the customer by the parallel variance formula (Chan et al.
     1979). A customer with a single distinct amount gets a spread of exactly 0.
     """
     amount = F.col("amount").cast("double")
-    per_slice = sliced.groupBy(_KEY, *SLICE).agg(
+    per_hour = facts.groupBy(_KEY, F.hour("created_at").alias(_HOUR)).agg(
         F.count("created_at").alias("timed"),
         F.count("amount").alias("n"),
         F.sum("amount").alias("total"),
@@ -70,27 +69,21 @@ def _slice_statistics(sliced: DataFrame) -> DataFrame:
         F.max("amount").alias("high"),
         F.min("created_at").alias("first_at"),
         F.max("created_at").alias("last_at"),
-        F.max(F.when(F.col("full_date").isNotNull(), F.col("created_at"))).alias("last_dated"),
     )
     whole = Window.partitionBy(_KEY)
-    same_hour = Window.partitionBy(_KEY, SLICE_HOUR)
     n = F.sum("n").over(whole)
-    merged = per_slice.withColumns({
+    merged = per_hour.withColumns({
         "customer_n": n,
         "mean_amount": ratio(F.sum("total").over(whole), n),
         "flat": F.min("low").over(whole) == F.max("high").over(whole),
-        "velocity": _per_hour(
-            F.sum("timed").over(same_hour), F.min("first_at").over(same_hour), F.max("last_at").over(same_hour)
-        ),
-        "last_before": F.max("last_dated").over(slices_before(_KEY)),
     })
     shift = ratio(F.col("total"), F.col("n")) - F.col("mean_amount")
     between = F.coalesce(F.col("n") * shift * shift, F.lit(0.0))
     spread = F.sqrt(ratio(F.sum(F.col("squares") + between).over(whole), F.col("customer_n") - 1))
     return merged.select(
-        _KEY, *SLICE, "mean_amount",
+        _KEY, _HOUR, "mean_amount",
         F.when(F.col("flat"), F.lit(0.0)).otherwise(spread).alias("stddev_amount"),
-        "velocity", "last_before",
+        _per_hour(F.col("timed"), F.col("first_at"), F.col("last_at")).alias("velocity"),
     )
 
 
@@ -100,24 +93,19 @@ def fraud_features(facts: DataFrame, dim_date: DataFrame, ordered: bool = True)
     Statistics are over all facts, the rows (and the gap between them) over facts whose date is in the calendar.
     """
     used = facts.select("transaction_sk", _KEY, "amount", "merchant_category", "channel", "created_at", "date_key")
-    sliced = with_full_date(with_time_slice(used, "created_at"), dim_date)
-    statistics = _slice_statistics(sliced)
-    rows = sliced.where(F.col("full_date").isNotNull())
-    window = in_slice(_KEY, ["created_at", "transaction_sk"])
-    numbered = rows.withColumns({
-        "_previous": F.lag("created_at").over(window),
-        "_first": F.row_number().over(window) == 1,
-    })
-    before = F.when(F.col("_first"), F.col("last_before")).otherwise(F.col("_previous"))
+    rows = with_full_date(used, dim_date).where(F.col("full_date").isNotNull()).drop("full_date", "date_key")
     hour = F.hour("created_at")
+    # the hour is -1 where there is none, so that the join finds the customer's mean for such rows too
+    numbered = with_previous(rows, _KEY, "created_at", "transaction_sk", "_previous").withColumn(_HOUR, F.coalesce(hour, F.lit(-1)))
+    statistics = _statistics(used).withColumn(_HOUR, F.coalesce(_HOUR, F.lit(-1)))
     features = (
-        numbered.join(statistics, [_KEY, *SLICE], "left")
+        numbered.join(statistics, [_KEY, _HOUR], "left")
         .join(merchant_risk(facts), "merchant_category", "left")
         .select(
             "transaction_sk", _KEY, "amount", "merchant_category", "channel", "created_at",
             hour.alias("tx_hour"),
             zscore(F.col("amount").cast("double"), F.col("mean_amount"), F.col("stddev_amount")).alias("amount_zscore"),
-            number_or_zero(elapsed_seconds(before, F.col("created_at"))).alias("time_since_last_tx"),
+            number_or_zero(elapsed_seconds(F.col("_previous"), F.col("created_at"))).alias("time_since_last_tx"),
             F.coalesce("fraud_rate", F.lit(0.0)).alias("merchant_risk_score"),
             F.when(hour < 6, 1).otherwise(0).alias("unusual_hour_flag"),
             F.when(hour.isNotNull(), number_or_zero(F.col("velocity"))).otherwise(0.0).alias("hourly_velocity"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every starmart job expects. All can be overridden by the caller.
 DEFAULTS = {
@@ -50,3 +50,13 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`scratch_root`; never reused between runs."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write rows that several steps read next, so that they are worked out once, and read them back.
+
+    The copy is in the shared scratch folder, hence it survives the loss of executors.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -88,13 +88,14 @@ def test_facts_never_meet_in_one_partition(star, no_broadcast):
             assert re.search(r"partial_(min|max)|_bucket", block.group()), block.group()
 
 
-def test_fraud_rows_are_clustered_by_customer_and_slice(star, no_broadcast):
+def test_fraud_rows_are_clustered_by_run(star, no_broadcast):
     text = plan(fraud.fraud_features(star.event_facts, star.event_dates, ordered=False))
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*?), 4\)", text)
-    wide = [k for k in keys if k.startswith("customer_sk") and "_slice_hour" in k]
-    assert wide and "NestedLoop" not in text
+    assert any(re.fullmatch(r"_run#\d+, customer_sk#\d+L", k) for k in keys) and "NestedLoop" not in text
+    # the rows meet the statistics on customer and hour; only carries and the hourly statistics are clustered by customer alone
+    assert any(re.fullmatch(r"customer_sk#\d+L, _hour#\d+", k) for k in keys)
     alone = [k for k in keys if re.fullmatch(r"customer_sk#\d+L", k)]
-    assert len(alone) == 1  # the per-slice summary
+    assert len(alone) == 2
 
 
 def test_no_python_workers_in_any_plan(star):
