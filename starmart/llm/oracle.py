@@ -19,4 +19,46 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
     sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op12_prefix_trie": r"""
+WITH said AS (
+    SELECT conv_id::BIGINT AS conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+            lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                lambda c, i: xor(c >> 1, (c & 1) * 3988292384))), 4294967295::BIGINT) % 9 AS h
+    FROM said),
+heads AS (
+    SELECT c.conv_id, role, text, place, max(place) OVER (PARTITION BY c.conv_id) + 1 AS size
+    FROM convs c JOIN said s ON s.conv_id = base AND place < h),
+rebuilt AS (
+    SELECT conv_id, role, text, place FROM heads
+    UNION ALL
+    SELECT s.conv_id, role, text, place - h + coalesce((SELECT max(size) FROM heads x WHERE x.conv_id = s.conv_id), 0)
+    FROM said s JOIN convs c USING (conv_id) WHERE place >= h),
+turns AS (
+    SELECT conv_id, place + 1 AS depth, strlen(text) AS size,
+        string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY place) AS path
+    FROM rebuilt),
+paths AS (
+    SELECT conv_id, depth, size, path FROM turns UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+lengths AS (SELECT conv_id, max(depth) AS length FROM paths GROUP BY conv_id),
+members AS (
+    SELECT conv_id, depth, size, path, length, min(conv_id) OVER (PARTITION BY depth, path) AS node
+    FROM paths JOIN lengths USING (conv_id)),
+nodes AS (
+    SELECT node, depth, count(*) AS n_convs, max(size) AS size, max(length) = depth AS leaf,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE length = depth), '')) AS ends_sha256
+    FROM members GROUP BY node, depth),
+parents AS (
+    SELECT n.*, m.node AS parent FROM nodes n LEFT JOIN members m ON m.conv_id = n.node AND m.depth = n.depth - 1),
+children AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM parents WHERE parent IS NOT NULL GROUP BY ALL),
+below AS (
+    SELECT a.node, a.depth, count(*) FILTER (WHERE n.leaf) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved
+    FROM nodes n JOIN members a ON a.conv_id = n.node AND a.depth <= n.depth GROUP BY a.node, a.depth)
+SELECT p.node AS conv_id, p.depth::BIGINT AS depth, parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children,
+    n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
+FROM parents p LEFT JOIN children c USING (node, depth) JOIN below b USING (node, depth)""",
 }

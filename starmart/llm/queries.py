@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, jaccard_join, packing, pii, quality_rules, sharding, substring_dedup, token_counts
+from . import (
+    chat, decontamination, html_text, jaccard_join, packing, pii, prefix_trie, quality_rules, sharding, substring_dedup, token_counts,
+)
 from .oracle import ORACLE  # noqa: F401
 from .staging import carry_modules, staged
 
@@ -68,6 +70,10 @@ def op10_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(_table(spark, folder, "pages"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"), group=5)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,5 +92,5 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (
         op1_shards, op2_personal_data, op3_token_counts, op4_quality_rules, op5_packed, op6_chat, op7_benchmark_leaks,
-        op8_repeated_passages, op9_near_duplicates, op10_page_text, pipeline)
+        op8_repeated_passages, op9_near_duplicates, op10_page_text, op12_prefix_trie, pipeline)
 }
