@@ -61,4 +61,35 @@ below AS (
 SELECT p.node AS conv_id, p.depth::BIGINT AS depth, parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children,
     n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
 FROM parents p LEFT JOIN children c USING (node, depth) JOIN below b USING (node, depth)""",
+    "op13_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+suffixes AS (
+    SELECT lang, words[i] AS w1, words[i + 1] AS w2, words[i + 2] AS w3
+    FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM words)),
+totals AS (SELECT lang, count(*) AS n FROM suffixes GROUP BY lang),
+counts AS (
+    SELECT lang, 1 AS size, w1 AS phrase, count(*) AS n FROM suffixes GROUP BY ALL HAVING n >= 10
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) AS n FROM suffixes WHERE w2 IS NOT NULL GROUP BY ALL HAVING n >= 10
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) AS n FROM suffixes WHERE w3 IS NOT NULL GROUP BY ALL HAVING n >= 10),
+cuts AS (
+    SELECT c.lang, c.phrase, c.n AS a, k, l.n AS l, r.n AS r, 1000000 * c.n::HUGEINT * c.n::HUGEINT // (l.n::HUGEINT * r.n::HUGEINT) AS score
+    FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k FROM counts WHERE size > 1) c
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(words[1:k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(words[k + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+holders AS (
+    SELECT lang, part AS phrase, max(n) AS b FROM (
+        SELECT lang, n, unnest([words[1] || ' ' || words[2], words[2] || ' ' || words[3]]) AS part
+        FROM (SELECT lang, n, string_split(phrase, ' ') AS words FROM counts WHERE size = 3))
+    GROUP BY ALL),
+ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+    FROM best LEFT JOIN holders USING (lang, phrase) JOIN totals USING (lang)
+    WHERE b IS NULL OR 100 * b < 50 * a)
+SELECT * FROM ranked WHERE rank <= 2000""",
 }

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -222,7 +223,7 @@ def _nodes(rows: pa.Table, notes: pa.Table) -> pa.Table:
         return _NODES.empty_table()
     m = Matrix(rows, *_edges(notes))
     n, shard = len(rows), rows["shard"][0].as_py()
-    known = notes.filter(pa.compute.invert(notes["edge"]))
+    known = notes.filter(pc.invert(notes["edge"]))
     below = {(c, b): (x, s) for c, b, x, s in zip(*(known[k].to_pylist() for k in ("conv_id", "band", "leaves", "saved")), strict=True)}
     leaves, saved = m.leaf.astype(np.int64), np.zeros(n, np.int64)
     if below:
