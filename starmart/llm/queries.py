@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, collocations, decontamination, html_text, jaccard_join, packing, pii, prefix_trie, quality_rules, sharding, substring_dedup, token_counts,
+    chat, collocations, decontamination, html_text, jaccard_join, language_id, packing, pii, prefix_trie, quality_rules, sharding,
+    substring_dedup, token_counts,
 )
 from .oracle import ORACLE  # noqa: F401
 from .staging import carry_modules, staged
@@ -70,6 +71,10 @@ def op10_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(_table(spark, folder, "pages"))
 
 
+def op11_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(_table(spark, folder, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, folder, "conversations"), group=5)
 
@@ -96,5 +101,5 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (
         op1_shards, op2_personal_data, op3_token_counts, op4_quality_rules, op5_packed, op6_chat, op7_benchmark_leaks,
-        op8_repeated_passages, op9_near_duplicates, op10_page_text, op12_prefix_trie, op13_collocations, pipeline)
+        op8_repeated_passages, op9_near_duplicates, op10_page_text, op11_language, op12_prefix_trie, op13_collocations, pipeline)
 }
