@@ -223,7 +223,7 @@ def dim_product_dedup(s: Star) -> DataFrame:
 @query
 def surrogate_keys(s: Star) -> DataFrame:
     stored = s.products.select(F.col("product_sk").alias("order_sk"))
-    keyed = assign_surrogate_keys(s.raw("orders").select("o_orderkey"), "order_sk", "o_orderkey", existing=stored)
+    keyed = assign_surrogate_keys(s.raw("orders").select("o_orderkey"), "order_sk", existing=stored)
     return keyed.agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("order_sk").alias("n_keys"),
         F.min("order_sk").alias("first_key"), F.max("order_sk").alias("last_key"),

@@ -1,41 +1,35 @@
-"""Dense surrogate keys without a single-task window."""
+"""Dense surrogate keys by position: no shuffle, no sort and no window."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-DEFAULT_BUCKETS = 1024
+from starmart.session import staged
 
+_FILE, _ROW = "_key_file", "_key_row"
 
-def assign_surrogate_keys(
-    df: DataFrame,
-    key_column: str,
-    natural_key: str | list[str],
-    existing: DataFrame | None = None,
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
+
+def assign_surrogate_keys(df: DataFrame, key_column: str, existing: DataFrame | None = None) -> DataFrame:
     """Add consecutive keys that continue after the largest key of ``existing``.
 
-    Rows are numbered inside hash buckets of the natural key, and each bucket starts after the rows of the
-    buckets before it. The start offsets are one row per bucket, so broadcasting them is bounded by ``buckets``.
-    The natural key must be unique in ``df``; the same input always gets the same keys, so a re-run task agrees.
+    The rows are written once. A row's key is its place in its file plus the rows of the files before, so every task reads
+    its split of a file and nothing is moved; the files' row counts, one number for each task that wrote, are added up
+    by the driver and sent back. The written rows do not change, so a task that runs again finds the same keys; a load over
+    the same input in the same partitions gives the same keys too.
     """
-    natural = [natural_key] if isinstance(natural_key, str) else list(natural_key)
-    bucket = F.pmod(F.xxhash64(*natural), F.lit(buckets)).cast("int")
-    placed = df.withColumn("_bucket", bucket)
-    in_order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(in_order), F.lit(0)).alias("_offset"))
-    )
-    number = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural))
+    rows = staged(df, "keyed")
+    placed = rows.select("*", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.row_index").alias(_ROW))
+    held = placed.groupBy(_FILE).agg(F.count(F.lit(1)).alias("rows")).collect()
+    before, offsets = 0, []
+    for file, n in sorted(map(tuple, held)):
+        offsets.append((file, before))
+        before += n
+    firsts = df.sparkSession.createDataFrame(offsets, f"{_FILE} string, _before long")
     start = largest_key(existing, key_column) if existing is not None else F.lit(0)
-    return (
-        placed.withColumn("_number", number)
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(key_column, (start + F.col("_offset") + F.col("_number")).cast("long"))
-        .drop("_bucket", "_number", "_offset")
-    )
+    key = (start + F.col("_before") + F.col(_ROW) + 1).cast("long")
+    # one row per written file
+    return placed.join(F.broadcast(firsts), _FILE).withColumn(key_column, key).select(
+        *[c for c in df.columns if c != key_column], key_column)
 
 
 def largest_key(existing: DataFrame, key_column: str) -> Column:

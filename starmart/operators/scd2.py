@@ -78,12 +78,13 @@ def _new_versions(rows: DataFrame, as_of, offset_days: int) -> DataFrame:
     )
 
 
-def apply_changes(dim: DataFrame, changes: DataFrame, as_of=None) -> DataFrame:
+def apply_changes(dim: DataFrame, changes: DataFrame, as_of=None, keyed: DataFrame | None = None) -> DataFrame:
     """The whole dimension after a batch: history, unchanged current rows, expired rows, new versions.
 
     The replaced rows expire on the as-of day. History passes through without a shuffle; only current rows meet the
-    batch, and they keep their keys. New versions continue after the largest key. Both inputs are read more than once:
-    store them first when they are expensive, and store the result before the next batch.
+    batch, and they keep their keys. New versions continue after the largest key of ``keyed``, which is ``dim`` unless
+    ``dim`` is only the part that holds the batch's customers. Both inputs are read more than once: store them first when
+    they are expensive, and store the result before the next batch.
     """
     replaced = changes.where("version > 1").select(ID, F.lit(True).alias("_replaced"))
     history = dim.where("NOT is_current")
@@ -96,7 +97,7 @@ def apply_changes(dim: DataFrame, changes: DataFrame, as_of=None) -> DataFrame:
         })
         .drop("_replaced")
     )
-    added = DIM_CUSTOMER.conform(assign_surrogate_keys(changes, "customer_sk", ID, existing=dim))
+    added = DIM_CUSTOMER.conform(assign_surrogate_keys(changes, "customer_sk", existing=dim if keyed is None else keyed))
     return current.select(dim.columns).unionByName(history).unionByName(added.select(dim.columns))
 
 

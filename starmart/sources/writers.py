@@ -7,7 +7,7 @@ import re
 import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmart.sources.readers import CSV_DIALECT
 
@@ -88,6 +88,95 @@ def _live_version(spark: SparkSession, name: str) -> int | None:
     return version
 
 
+#: Partition columns of a table that is published by bucket, and the property that holds its number of buckets.
+BUCKET, WRITTEN, BUCKETS = "_bucket", "_written", "starmart.buckets"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _live_table(spark: SparkSession, name: str) -> str:
+    """The table that a published view reads."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").collect()
+    return rows[0].data_type.split(" FROM ")[-1].strip()
+
+
+def _pieces(spark: SparkSession, table: str) -> dict[int, str]:
+    """For each stored bucket of a version the version that wrote it."""
+    found = (dict(part.split("=", 1) for part in row.partition.split("/")) for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    return {int(p[BUCKET]): p[WRITTEN] for p in found}
+
+
+def _folder(spark: SparkSession, name: str, tag: str) -> str:
+    database, table = _split(name)
+    database = database or spark.catalog.currentDatabase()
+    place = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first().info_value
+    return f"{place.rstrip('/')}/{table}__{tag}"
+
+
+def read_buckets(spark: SparkSession, name: str, buckets: list[int] | None = None) -> DataFrame:
+    """The rows of some buckets of a table published by bucket, or of all; other buckets are not read."""
+    rows = spark.read.table(_live_table(spark, name))
+    if buckets is not None:
+        rows = rows.where(F.col(BUCKET).isin(buckets) if buckets else F.lit(False))
+    return rows.drop(BUCKET, WRITTEN)
+
+
+def bucket_count(spark: SparkSession, name: str) -> int:
+    found = spark.sql(f"SHOW TBLPROPERTIES {_live_table(spark, name)}").where(F.col("key") == BUCKETS).first()
+    return int(found.value)
+
+
+def publish_buckets(rows: DataFrame, name: str, key: str, changed: list[int] | None = None, buckets: int = 64, keep: int = 2) -> None:
+    """Replace the ``changed`` buckets of ``name`` with ``rows``, which hold all rows of these buckets and may read ``name``.
+
+    ``name`` is a view of a table whose partitions are buckets of the hash of ``key``. A new version writes the changed
+    buckets only and refers to the older versions' files for all others; then the view is switched to it in one catalog
+    operation, so a run that fails midway leaves the previous contents readable. Without ``changed`` everything is replaced;
+    a bucket that is changed and has no rows becomes empty. The last ``keep`` versions stay readable, files that none of
+    them refers to are deleted. The first call fixes the number of buckets. A name has one writer at a time.
+    """
+    spark = rows.sparkSession
+    live = _live_version(spark, name)
+    kept = {} if live is None or changed is None else {b: t for b, t in _pieces(spark, _live_table(spark, name)).items() if b not in set(changed)}
+    if live is not None:
+        buckets = bucket_count(spark, name)
+    tag = f"v{(live or 0) + 1}_{uuid.uuid4().hex[:8]}"
+    target = f"{name}__{tag}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    spark.sql(f"""CREATE TABLE {target} ({columns}, {BUCKET} INT, {WRITTEN} STRING) USING parquet PARTITIONED BY ({BUCKET}, {WRITTEN})
+        LOCATION '{_folder(spark, name, tag)}' TBLPROPERTIES ('{BUCKETS}' = '{buckets}')""")
+    placed = rows.withColumns({BUCKET: bucket_of(key, buckets), WRITTEN: F.lit(tag)})
+    placed.hint("rebalance", BUCKET).write.mode("append").insertInto(target)
+    if kept:
+        places = " ".join(
+            f"PARTITION ({BUCKET} = {b}, {WRITTEN} = '{t}') LOCATION '{_folder(spark, name, t)}/{BUCKET}={b}/{WRITTEN}={t}'" for b, t in sorted(kept.items()))
+        spark.sql(f"ALTER TABLE {target} ADD {places}")
+    shown = ", ".join(f"`{c}`" for c in rows.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {shown} FROM {target}")
+    _drop_unused(spark, name, target, keep)
+
+
+def _drop_unused(spark: SparkSession, name: str, live: str, keep: int) -> None:
+    """Drop versions that are no longer kept, and the files that no kept version refers to."""
+    versions = _written_tables(spark, name)
+    newest = _version_of(live)
+    gone = [t for t, v in versions.items() if v <= newest - keep or (v == newest and t != live)]
+    if not gone:
+        return
+    used = {piece for t in versions if t not in gone for piece in _pieces(spark, t).items()}
+    for table in gone:
+        for bucket, tag in set(_pieces(spark, table).items()) - used:
+            _delete(spark, f"{_folder(spark, name, tag)}/{BUCKET}={bucket}/{WRITTEN}={tag}")
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Create or replace a session view and return a scan of it."""
     df.createOrReplaceTempView(name)

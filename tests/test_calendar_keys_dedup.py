@@ -38,16 +38,30 @@ def test_longest_calendar_is_the_stated_bound(spark):
 def test_surrogate_keys_are_dense_and_repeatable(spark):
     ids = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("id"))
     stored = spark.sql("SELECT CAST(41 AS BIGINT) AS sk")
-    first = {r.id: r.sk for r in assign_surrogate_keys(ids.repartition(7), "sk", "id", stored, buckets=16).collect()}
-    again = {r.id: r.sk for r in assign_surrogate_keys(ids.repartition(3), "sk", "id", stored, buckets=16).collect()}
+    many = ids.repartition(7)
+    first = {r.id: r.sk for r in assign_surrogate_keys(many, "sk", stored).collect()}
+    again = {r.id: r.sk for r in assign_surrogate_keys(many, "sk", stored).collect()}
     assert sorted(first.values()) == list(range(42, 1042))
     assert first == again
 
 
+def test_surrogate_keys_move_no_rows(spark):
+    """No window, no sort; the only exchange is none, and files are read in splits."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        keyed = assign_surrogate_keys(spark.range(20_000).select(F.col("id"), F.lit("x" * 30).alias("t")).coalesce(1), "sk")
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Window", "Sort ", "hashpartitioning", "SinglePartition"))
+        assert keyed.rdd.getNumPartitions() > 1
+        assert [r.sk for r in keyed.orderBy("id").collect()] == list(range(1, 20_001))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_surrogate_keys_of_nothing(spark):
     empty = spark.range(0).select(F.col("id").cast("string").alias("id"))
-    assert assign_surrogate_keys(empty, "sk", "id").count() == 0
-    assert assign_surrogate_keys(empty, "sk", "id", spark.range(0).select(F.col("id").alias("sk"))).count() == 0
+    assert assign_surrogate_keys(empty, "sk").count() == 0
+    assert assign_surrogate_keys(empty, "sk", spark.range(0).select(F.col("id").alias("sk"))).count() == 0
 
 
 def test_keep_last_and_first(spark):

@@ -1,13 +1,16 @@
 import datetime as dt
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.operators import scd2
 from starmart.operators.quality import QualityGateError
 from starmart.plans.warehouse import DEFAULT_CONFIG, Warehouse
 from starmart.streaming.incremental import load_stream, transaction_stream
 
+AS_OF = "2024-05-01 10:00:00"
 CONFIG = {**DEFAULT_CONFIG, "date_range_start": "2024-01-01", "date_range_end": "2024-12-31"}
 
 
@@ -203,3 +206,68 @@ def test_stream_loads_each_file_once(spark, warehouse, files, tmp_path):
     load_stream(warehouse, transaction_stream(spark, str(folder)), checkpoint).awaitTermination()
     assert rows(warehouse.table("fact_transactions"), "transaction_id", "is_fraudulent") == [
         ("T1", False), ("T2", False), ("T7", True), ("T8", False)]
+
+
+def batch_of(spark, *ids, city="Q"):
+    return spark.createDataFrame([(i, f"n{i}", city) for i in ids], "customer_id string, customer_name string, city string")
+
+
+def stored_files(warehouse):
+    return set(warehouse.table("dim_customer").inputFiles())
+
+
+def test_a_small_batch_rewrites_its_buckets_only(spark, database, tmp_path):
+    warehouse = Warehouse(spark, database, as_of=AS_OF, customer_buckets=16).create()
+    everybody = [f"C{i}" for i in range(400)]
+    warehouse.load_customers(batch_of(spark, *everybody))
+    before = stored_files(warehouse)
+    assert len(before) >= 16
+    warehouse.load_customers(batch_of(spark, "C1", "C2", "N1", city="Z"))
+    after = stored_files(warehouse)
+    assert len(after & before) >= len(before) - 3 and 1 <= len(after - before) <= 3
+    dim = warehouse.table("dim_customer")
+    assert dim.count() == 403 and dim.where("is_current").count() == 401
+    assert dim.select("customer_sk").distinct().count() == 403 and dim.agg(F.max("customer_sk")).first()[0] == 403
+    assert scd2.history_violations(dim).isEmpty()
+    assert rows(dim.where("customer_id = 'C1'"), "version", "city", "is_current") == [(1, "Q", False), (2, "Z", True)]
+    warehouse.load_customers(batch_of(spark, "C1", city="Z"))  # nothing is new
+    assert stored_files(warehouse) == after
+
+
+def test_old_files_go_when_no_kept_version_refers_to_them(spark, database, tmp_path):
+    warehouse = Warehouse(spark, database, as_of=AS_OF, customer_buckets=4).create()
+    seen = []
+    for i in range(5):
+        warehouse.load_customers(batch_of(spark, *[f"C{j}" for j in range(40)], city=f"c{i}"))
+        seen.append(stored_files(warehouse))
+    exists = lambda files: [Path(f.removeprefix("file:").replace("///", "/")).exists() for f in files]
+    assert all(exists(seen[-1])) and all(exists(seen[-2])) and not any(exists(seen[0] | seen[1] | seen[2]))
+    assert warehouse.table("dim_customer").count() == 200
+
+
+def test_a_load_that_is_cut_off_leaves_the_old_customers(spark, database, monkeypatch):
+    warehouse = Warehouse(spark, database, as_of=AS_OF, customer_buckets=4).create()
+    warehouse.load_customers(batch_of(spark, *[f"C{j}" for j in range(40)]))
+    before, plain = rows(warehouse.table("dim_customer"), "customer_sk", "customer_id", "version"), type(spark).sql
+
+    def cut_off(self, text, *rest, **more):
+        if text.startswith("CREATE OR REPLACE VIEW"):
+            raise RuntimeError("lost")
+        return plain(self, text, *rest, **more)
+
+    monkeypatch.setattr(type(spark), "sql", cut_off)
+    with pytest.raises(RuntimeError, match="lost"):
+        warehouse.load_customers(batch_of(spark, "C1", "N1", city="Z"))
+    monkeypatch.undo()
+    assert rows(warehouse.table("dim_customer"), "customer_sk", "customer_id", "version") == before
+    warehouse.load_customers(batch_of(spark, "C1", "N1", city="Z"))
+    assert warehouse.table("dim_customer").count() == 42
+    assert len([t for t in spark.catalog.listTables(database) if t.name.startswith("dim_customer__")]) == 2
+
+
+def test_counts_with_an_empty_dimension(spark, database, tmp_path):
+    """Without customers no fact can be left, and the rows are counted all the same."""
+    warehouse = Warehouse(spark, database, as_of=AS_OF).create()
+    raw = spark.sql("SELECT 'T1' transaction_id, 'C1' customer_id, 'P1' product_id, 5 amount, DATE'2024-01-01' transaction_date, 'ATM' channel")
+    counts = warehouse.load_transactions(raw)
+    assert counts["rows_in"] == 1 and counts["rows_out"] == 0 and counts["missing_customer"] == 1
