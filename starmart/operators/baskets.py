@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.functions.columns import ratio
 
 #: Items of an owner that are gathered into one array on average; an owner with more has several.
 CHUNK_ITEMS = 512
+#: Cells that pairs are first counted in where a support may drop them; so many rows are broadcast at most.
+SKETCH_CELLS = 1 << 20
 
 
 def ownership(facts: DataFrame, owner: str = "customer_sk", item: str = "product_sk") -> DataFrame:
@@ -32,16 +34,46 @@ def baskets_by_owner(owned: DataFrame, owner: str = "customer_sk", item: str = "
     return owned.groupBy(owner).agg(F.sort_array(F.collect_list(item)).alias("basket"))
 
 
-def chunked_baskets(
-    owned: DataFrame, owner: str = "customer_sk", item: str = "product_sk", chunk_items: int = CHUNK_ITEMS
-) -> DataFrame:
-    """(owner, chunk, basket): the items of each owner as sorted arrays of about ``chunk_items``, dealt by item hash.
+def chunks_sql(owned: str, owner: str, item: str, chunk_items: int = CHUNK_ITEMS) -> str:
+    """SQL of (owner, chunks, chunk, basket): the items of each owner as sorted arrays of about ``chunk_items``, dealt by hash.
 
     An owner gets as many chunks as its size asks for; most have one.
     """
-    sizes = owned.groupBy(owner).agg(F.ceil(F.count(F.lit(1)) / chunk_items).cast("long").alias("_chunks"))
-    dealt = owned.join(sizes, owner).withColumn("chunk", F.pmod(F.xxhash64(item), F.col("_chunks")))
-    return dealt.groupBy(owner, "chunk").agg(F.sort_array(F.collect_list(item)).alias("basket"))
+    return f"""SELECT {owner}, chunks, chunk, sort_array(collect_list({item})) AS basket
+        FROM (SELECT {owner}, {item}, chunks, pmod(xxhash64({item}), chunks) AS chunk
+            FROM {owned} JOIN (SELECT {owner}, CAST(ceil(count(*) / {int(chunk_items)}) AS BIGINT) AS chunks FROM {owned} GROUP BY {owner}) USING ({owner}))
+        GROUP BY {owner}, chunks, chunk"""
+
+
+def pair_rows_sql(owned: str, owner: str, item: str, chunk_items: int = CHUNK_ITEMS) -> str:
+    """SQL of (item_a, item_b, holders), ``item_a < item_b``: rows that add up to the owners of each pair.
+
+    Pairs inside a chunk come once per distinct chunk, weighted by its holders. Pairs across two chunks are tasks of their
+    own, dealt by owner and both chunks, so the pairs of one owner spread over as many tasks as it has pairs of chunks.
+    """
+    chunks = chunks_sql(owned, owner, item, chunk_items)
+    return f"""WITH whole AS (SELECT basket, count(*) AS holders FROM ({chunks}) GROUP BY basket),
+    placed AS (SELECT posexplode(basket) AS (place, one), basket, holders FROM whole),
+    parts AS (SELECT * FROM ({chunks}) WHERE chunks > 1),
+    lower AS (SELECT {owner}, chunk AS lo, explode(sequence(chunk + 1, chunks - 1)) AS hi, basket AS here FROM parts WHERE chunk < chunks - 1),
+    upper AS (SELECT {owner}, explode(sequence(0L, chunk - 1)) AS lo, chunk AS hi, basket AS there FROM parts WHERE chunk > 0),
+    met AS (SELECT explode(here) AS one, there FROM lower JOIN upper USING ({owner}, lo, hi)),
+    across AS (SELECT one, explode(there) AS other FROM met)
+    SELECT one AS item_a, explode(slice(basket, place + 2, greatest(size(basket) - place - 1, 0))) AS item_b, holders FROM placed
+    UNION ALL SELECT least(one, other), greatest(one, other), 1L FROM across"""
+
+
+def pair_counts_sql(owned: str, owner: str, item: str, chunk_items: int = CHUNK_ITEMS) -> str:
+    """SQL of (item_a, item_b, n_together): the owners that hold both items of a pair."""
+    rows = pair_rows_sql(owned, owner, item, chunk_items)
+    return f"SELECT item_a, item_b, sum(holders) AS n_together FROM ({rows}) GROUP BY item_a, item_b"
+
+
+def chunked_baskets(
+    owned: DataFrame, owner: str = "customer_sk", item: str = "product_sk", chunk_items: int = CHUNK_ITEMS
+) -> DataFrame:
+    """(owner, chunks, chunk, basket) as in :func:`chunks_sql`."""
+    return owned.sparkSession.sql(chunks_sql("{owned}", owner, item, chunk_items), owned=owned)
 
 
 def _pairs(baskets: DataFrame) -> DataFrame:
@@ -54,21 +86,51 @@ def _pairs(baskets: DataFrame) -> DataFrame:
 def pair_counts(
     owned: DataFrame, owner: str = "customer_sk", item: str = "product_sk", chunk_items: int = CHUNK_ITEMS
 ) -> DataFrame:
-    """Owners that hold both items of a pair, ``item_a < item_b``.
+    """Owners that hold both items of a pair, ``item_a < item_b``: the SQL that stored views hold, over any DataFrame."""
+    return owned.sparkSession.sql(pair_counts_sql("{owned}", owner, item, chunk_items), owned=owned)
+
+
+def _bucket(a: str, b: str) -> Column:
+    return F.pmod(F.xxhash64(a, b), F.lit(SKETCH_CELLS))
+
+
+def promising_pairs(
+    owned: DataFrame, least_support: float, owner: str = "customer_sk", item: str = "product_sk", chunk_items: int = CHUNK_ITEMS
+) -> DataFrame:
+    """(item_a, item_b, holders, owners_a, owners_b) like :func:`pair_rows_sql`, without pairs that cannot reach the support.
 
-    Every owner is cut into chunks of its items. Pairs inside a chunk are counted once per distinct chunk, weighted by
-    its holders; pairs across two chunks of an owner come from joining the chunks, each two of them once.
+    Each item travels with its number of owners. All pairs are first summed in :data:`SKETCH_CELLS` cells by hash; a pair's
+    cell is at least its count, so a pair whose cell stays below what either support asks for is dropped before the shuffle.
     """
-    chunks = chunked_baskets(owned, owner, item, chunk_items)
-    within = _pairs(chunks.groupBy("basket").agg(F.count(F.lit(1)).alias("holders")))
-    left = chunks.select(owner, F.col("chunk").alias("_left"), F.col("basket").alias("_here"))
-    right = chunks.select(owner, F.col("chunk").alias("_right"), F.col("basket").alias("_there"))
-    met = left.join(right, owner).where("_left < _right").select(F.explode("_here").alias("_one"), "_there")
-    across = met.select("_one", F.explode("_there").alias("_other")).select(
-        F.least("_one", "_other").alias("item_a"), F.greatest("_one", "_other").alias("item_b"), F.lit(1).cast("long").alias("holders")
-    )
-    both = within.select("item_a", "item_b", "holders").unionByName(across)
-    return both.groupBy("item_a", "item_b").agg(F.sum("holders").alias("n_together"))
+    counts = owner_counts(owned, owner, item).select(F.col(item), F.col("owners"))
+    known = owned.join(counts, item).select(owner, F.struct(F.col(item).alias("item"), F.col("owners")).alias("held"))
+    rows = owned.sparkSession.sql(pair_rows_sql("{owned}", owner, "held", chunk_items), owned=known).select(
+        F.col("item_a.item").alias("item_a"), F.col("item_b.item").alias("item_b"), "holders",
+        F.col("item_a.owners").alias("owners_a"), F.col("item_b.owners").alias("owners_b"))
+    cells = rows.groupBy(_bucket("item_a", "item_b").alias("_cell")).agg(F.sum("holders").alias("_most"))
+    # at most one row per cell
+    met = rows.withColumn("_cell", _bucket("item_a", "item_b")).join(F.broadcast(cells), "_cell")
+    needed = F.lit(float(least_support)) * F.least("owners_a", "owners_b") * (1 - 1e-9)
+    return met.where(F.col("_most") >= needed).drop("_cell", "_most")
+
+
+def supported_pairs(
+    owned: DataFrame, least_support: float, owner: str = "customer_sk", item: str = "product_sk", chunk_items: int = CHUNK_ITEMS
+) -> DataFrame:
+    """Pairs of which one support reaches ``least_support``, as in :func:`pair_support`.
+
+    Where the support asks for more than one owner of some item, pairs that cannot reach it are dropped before they are
+    shuffled; else every pair that exists reaches it and there is nothing to drop.
+    """
+    counts = owner_counts(owned, owner, item)
+    most = counts.agg(F.max("owners")).first()[0] or 0
+    if most * least_support <= 1:
+        pairs = pair_support(pair_counts(owned, owner, item, chunk_items), counts, item)
+    else:
+        pairs = promising_pairs(owned, least_support, owner, item, chunk_items).groupBy("item_a", "item_b", "owners_a", "owners_b").agg(
+            F.sum("holders").alias("n_together")).select("item_b", "item_a", "n_together", "owners_a", "owners_b").withColumns({
+                "support_a": ratio(F.col("n_together"), F.col("owners_a")), "support_b": ratio(F.col("n_together"), F.col("owners_b"))})
+    return pairs.where((F.col("support_a") >= least_support) | (F.col("support_b") >= least_support))
 
 
 def pair_support(pairs: DataFrame, counts: DataFrame, item: str = "product_sk") -> DataFrame:

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.functions import dates as D
 from starmart.functions.columns import age_group
-from starmart.operators.baskets import (
-    column_names, owner_counts, ownership, pair_counts, pair_support,
-)
+from starmart.operators.baskets import column_names, ownership, supported_pairs
 from starmart.operators.facts import current_customers
 
 # --- fixed values: default thresholds ---------------------------------------------------------------------
@@ -31,10 +29,7 @@ def cross_sell_affinity(
     A pair is kept when one of its supports reaches ``min_support`` and is strong when one exceeds the threshold.
     """
     owned = ownership(facts)
-    counts = owner_counts(owned)
-    pairs = pair_support(pair_counts(owned), counts).where(
-        (F.col("support_a") >= min_support) | (F.col("support_b") >= min_support)
-    )
+    pairs = supported_pairs(owned, min_support)
 
     def product(side: str) -> DataFrame:
         return dim_product.select(

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +87,37 @@ def test_an_owner_with_a_large_catalogue(spark):
     assert tuple(got) == (5000 * 4999 // 2, 1, 1)
 
 
+def test_a_heavy_owner_spreads_over_all_tasks(spark):
+    """100,000 items of one owner: pairs of chunks are dealt by owner and both chunks, and no task has many of them."""
+    owned = spark.range(100_000).select(F.expr("id DIV 100000").alias("customer_sk"), F.col("id").alias("product_sk"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = baskets.pair_counts(owned)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"hashpartitioning\(customer_sk#\d+L, lo#\d+L, hi#\d+L", plan)) == 2
+    chunks = baskets.chunked_baskets(owned).select("chunks", F.size("basket").alias("n")).collect()
+    assert len(chunks) == chunks[0].chunks == 196 and max(r.n for r in chunks) < 700
+
+
+@pytest.mark.parametrize("chunk", [512, 5])
+@pytest.mark.parametrize("least", [0.0, 0.02, 0.4, 0.9])
+def test_supported_pairs_against_brute_force(facts, least, chunk):
+    held = holdings(make_facts())
+    owners = {p: sum(p in items for items in held.values()) for p in range(12)}
+    want = {(a, b): (n, n / owners[a], n / owners[b]) for (a, b), n in brute_pairs(make_facts()).items() if max(n / owners[a], n / owners[b]) >= least}
+    got = baskets.supported_pairs(baskets.ownership(facts), least, chunk_items=chunk)
+    assert {(r.item_a, r.item_b): (r.n_together, r.support_a, r.support_b) for r in got.collect()} == want
+
+
+def test_a_raised_support_drops_pairs_before_the_shuffle(spark):
+    """Two items that always go together among many that rarely do."""
+    rng = random.Random(8)
+    rows = [(c, p) for c in range(400) for p in {0, 1, *(rng.randrange(2, 60) for _ in range(8))}]
+    owned = spark.createDataFrame(rows, "customer_sk long, product_sk long")
+    every = spark.sql(baskets.pair_rows_sql("{owned}", "customer_sk", "product_sk"), owned=owned).count()
+    assert baskets.promising_pairs(owned, 0.6).count() < every / 2  # what is left holds item 0 or 1
+    assert {(r.item_a, r.item_b) for r in baskets.supported_pairs(owned, 0.6).where("item_a = 0 AND item_b = 1").collect()} == {(0, 1)}
+
+
 def test_column_names_stay_distinct():
     assert baskets.column_names("p_", ["A b", "A-b", "a_b", "C"]) == ["p_A_b", "p_A_b_2", "p_a_b_3", "p_C"]
 
