@@ -13,64 +13,114 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections import deque
 from collections.abc import Callable, Iterator
+from functools import reduce
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import carry_modules
+from .words import BLANK, flat, offsets_of, slices
+
 CAPACITY = 4096
 #: Penalties of a cut, in tokens of padding.
 SENTENCE_CUT, INNER_CUT = 2, 32
 #: A stretch without a sentence end may be cut at every so many tokens.
 INNER_STEP = 256
-#: Tokens that are planned together; only the windows before the last few are final, the rest is planned again.
+#: Tokens after which the windows that no later document can change are given out; cuts do not depend on it.
 PLANNED = 1 << 20
-#: Chunks whose tokens a worker remembers.
-REMEMBERED = 400_000
+#: Words, and runs of characters between blanks, whose tokens a worker remembers.
+REMEMBERED = 500_000
+#: Longer ones are not remembered.
+LONGEST_REMEMBERED = 64
+#: Bytes of text that are encoded together.
+SLICE_BYTES = 8 << 20
 
 
-def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int) -> list[int]:
-    """Indices into `places` (increasing; from the stream's start to its end) of the cheapest cuts, both ends included.
+class Cuts:
+    """The cheapest cuts of a stream of places, found as the places come.
 
-    No two neighbouring places may be more than `capacity` apart.
+    Every place remembers the cut before it on its cheapest way. A later place can only follow one that is still in the
+    queue, so the cuts that the ways of all these have in common are settled.
     """
-    at, fee = places.tolist(), penalties.tolist()
-    cost, back = [0] * len(at), [0] * len(at)
-    queue = deque([0])  # indices of increasing place and increasing cost + place
-    for j in range(1, len(at)):
-        while at[j] - at[queue[0]] > capacity:
-            queue.popleft()
-        i = queue[0]
-        back[j] = i
-        cost[j] = cost[i] + at[i] + capacity - at[j] + fee[j]
-        level = cost[j] + at[j]
-        while queue and cost[queue[-1]] + at[queue[-1]] >= level:
-            queue.pop()
-        queue.append(j)
-    cuts = [len(at) - 1]
-    while cuts[-1]:
-        cuts.append(back[cuts[-1]])
-    return cuts[::-1]
-
-
-def cut_places(sentence_ends: np.ndarray, document_ends: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a stream may be cut, with their penalties. `document_ends` ends with the stream's length."""
-    total = int(document_ends[-1])
-    fee = np.full(total + 1, -1, np.int32)
-    fee[sentence_ends] = SENTENCE_CUT
-    fee[document_ends] = 0
-    fee[0] = 0
-    marks = np.flatnonzero(fee >= 0)
-    for i in np.flatnonzero(np.diff(marks) > min(INNER_STEP, capacity)):
-        inner = np.arange(marks[i] + min(INNER_STEP, capacity), marks[i + 1], min(INNER_STEP, capacity))
-        fee[inner] = INNER_CUT
-    places = np.flatnonzero(fee >= 0)
-    return places, fee[places]
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.at, self.cost, self.back = [0], [0], [0]
+        self.first = 0  # number of the place that the lists begin with, the last settled cut
+        self.queue = deque([0])  # numbers of increasing place and increasing cost + place
+
+    def add(self, places: list[int], fees: list[int]) -> None:
+        """Further places, increasing and no more than `capacity` apart, and what a cut there costs."""
+        at, cost, back, queue, first, capacity = self.at, self.cost, self.back, self.queue, self.first, self.capacity
+        for place, fee in zip(places, fees, strict=True):
+            while place - at[queue[0] - first] > capacity:
+                queue.popleft()
+            i = queue[0]
+            level = cost[i - first] + at[i - first] + capacity + fee
+            at.append(place)
+            cost.append(level - place)
+            back.append(i)
+            while queue and cost[queue[-1] - first] + at[queue[-1] - first] >= level:
+                queue.pop()
+            queue.append(first + len(at) - 1)
+
+    def _way(self, j: int) -> list[int]:
+        """Places from the last settled cut to place number j."""
+        way = []
+        while True:
+            way.append(self.at[j - self.first])
+            if j == self.first:
+                return way[::-1]
+            j = self.back[j - self.first]
+
+    def settled(self) -> list[int]:
+        """The cuts that no later place can change, from the last settled one on; these are given out once."""
+        open_ways = [-j for j in set(self.queue)]
+        heapify(open_ways)
+        while len(open_ways) > 1:
+            before = -self.back[-heappop(open_ways) - self.first]
+            if before not in open_ways:  # few: no more than the queue had
+                heappush(open_ways, before)
+        common = -open_ways[0]
+        way = self._way(common)
+        drop = common - self.first
+        del self.at[:drop], self.cost[:drop], self.back[:drop]
+        self.first = common
+        return way
+
+    def finished(self) -> list[int]:
+        """All remaining cuts, up to the last place."""
+        return self._way(self.first + len(self.at) - 1)
+
+
+def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int) -> list[int]:
+    """The cheapest cuts among places (increasing; from the stream's start 0 to its end), both ends included."""
+    cuts = Cuts(capacity)
+    cuts.add(places[1:].tolist(), penalties[1:].tolist())
+    return cuts.finished()
+
+
+def cut_places(sentence_ends: np.ndarray, length: int, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a document of `length` tokens may be cut, its end included, with their penalties."""
+    marks = np.append(sentence_ends[sentence_ends < length], length)
+    fees = np.full(len(marks), SENTENCE_CUT)
+    fees[-1] = 0
+    step = min(INNER_STEP, capacity)
+    before = np.append(0, marks[:-1])
+    far = np.flatnonzero(marks - before > step)
+    if len(far):
+        inner = np.concatenate([np.arange(before[i] + step, marks[i], step) for i in far])
+        marks, fees = np.append(marks, inner), np.append(fees, np.full(len(inner), INNER_CUT))
+        order = np.argsort(marks)
+        marks, fees = marks[order], fees[order]
+    return marks, fees
 
 
 class Packer:
@@ -78,59 +128,78 @@ class Packer:
 
     def __init__(self, capacity: int, ends_sentence: np.ndarray, planned: int = PLANNED):
         self.capacity, self.ends_sentence, self.planned = capacity, ends_sentence, planned
-        self.documents: list[list] = []  # (document, its ids still to place, start of these, all its tokens)
-        self.held = self.sequence = 0
+        self.cuts = Cuts(capacity)
+        self.documents: deque[tuple] = deque()  # (document, its ids, where they start in the stream) not yet wholly given out
+        self.length = self.asked = self.sequence = 0
 
     def add(self, document, ids: np.ndarray) -> list[tuple]:
-        self.documents.append([document, ids, 0, len(ids)])
-        self.held += len(ids)
-        return self.plan(False) if self.held >= self.planned else []
-
-    def plan(self, final: bool) -> list[tuple]:
-        """Cut what is held. Unless final, the last quarter of the windows stays held, as later documents may change it."""
-        if not self.held:
+        places, fees = cut_places(np.flatnonzero(self.ends_sentence[ids]) + 1, len(ids), self.capacity)
+        self.cuts.add((places + self.length).tolist(), fees.tolist())
+        self.documents.append((document, ids, self.length))
+        self.length += len(ids)
+        if self.length - self.asked < self.planned:
             return []
-        ids = np.concatenate([d[1] for d in self.documents])
-        ends = np.cumsum([len(d[1]) for d in self.documents])
-        places, fees = cut_places(np.flatnonzero(self.ends_sentence[ids]) + 1, ends, self.capacity)
-        cuts = places[best_cuts(places, fees, self.capacity)]
-        if not final:
-            cuts = cuts[: max(2, len(cuts) * 3 // 4)]
-        out, k, begins = [], 0, ends - np.array([len(d[1]) for d in self.documents])
-        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            while begins[k] < high:
-                a, b = max(low, int(begins[k])), min(high, int(ends[k]))
-                document, _, start, tokens = self.documents[k]
-                if a < b:
-                    out.append((document, start + a - int(begins[k]), b - a, ids[a:b], tokens, self.sequence, a - low))
-                if ends[k] > high or k + 1 == len(self.documents):
+        self.asked = self.length
+        return self._pieces(self.cuts.settled())
+
+    def finish(self) -> list[tuple]:
+        return self._pieces(self.cuts.finished())
+
+    def _pieces(self, cuts: list[int]) -> list[tuple]:
+        out = []
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            while self.documents and self.documents[0][2] < high:
+                document, ids, begin = self.documents[0]
+                a, b = max(low, begin), min(high, begin + len(ids))
+                out.append((document, a - begin, b - a, ids[a - begin: b - begin], len(ids), self.sequence, a - low))
+                if begin + len(ids) > high:
                     break
-                k += 1
+                self.documents.popleft()
             self.sequence += 1
-        done = int(cuts[-1])
-        rest = []
-        for i, d in enumerate(self.documents):
-            if ends[i] > done:
-                placed = max(0, done - int(begins[i]))
-                rest.append([d[0], d[1][placed:], d[2] + placed, d[3]])
-        self.documents, self.held = rest, len(ids) - done
         return out
 
 
-class Encoder:
-    """Token ids of texts, remembered by chunk. The tokenizer drops blanks and no token reaches over one."""
+#: Letters and numbers below U+0180, in lower case; above it there are too many classes for a plain pattern.
+_LETTERS, _NUMBERS = "a-zª\u00b5ºß-öø-\u017f", "0-9²³¹¼-¾"
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+#: Characters that leave a run between blanks to the library: controls, the soft hyphen, and all from U+0180 on.
+_ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f\xad\u0180-\U0010ffff]")
+
 
-    #: Characters that str.split and the tokenizer's pattern do not agree on as blanks.
-    UNSURE = ("\x1c", "\x1d", "\x1e", "\x1f")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"): ord("Z") + 1] += 32
+_ASCII_ALNUM = np.zeros(256, bool)
+_ASCII_ALNUM[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+_ASCII_MARK = ~_ASCII_ALNUM & ~BLANK & (np.arange(256) < 0x80) & (np.arange(256) > 0x20) & (np.arange(256) != 0x7F)
+
+
+def _tail(data: np.ndarray, inside: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Where a run of ASCII marks begins that ends a run between blanks and follows a letter or digit: a token ends before it."""
+    mark = _ASCII_MARK[data]
+    if len(data) < 2:
+        return np.zeros(len(data), bool)
+    after_word = np.zeros(len(data), bool)
+    after_word[1:] = _ASCII_ALNUM[data[:-1]]
+    latin = (data[1:-1] >= 0x80) & (data[1:-1] != 0x97) & (data[1:-1] != 0xB7) & (data[:-2] == 0xC3)
+    after_word[2:] |= latin
+    begins = np.flatnonzero(mark & after_word & ~edge[:-1])
+    # the first place from there on that is no mark, or that starts another text
+    stop = np.flatnonzero(~mark | edge[:-1])
+    next_stop = np.append(stop, len(data))[np.searchsorted(stop, begins, "right")]
+    ended = np.append(~inside | edge[:-1], True)[next_stop]
+    out = np.zeros(len(data), bool)
+    out[begins[ended]] = True
+    return out
+
+
+class Encoder:
+    """Token ids of texts, remembered by word. The tokenizer lower-cases, drops blanks, and no token reaches over one."""
 
     def __init__(self, file: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.model, self.normal = self.tokenizer.model, self.tokenizer.normalizer.normalize_str
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+        self.model = self.tokenizer.model
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         # bytes as the characters that stand for them in the vocabulary: printable ones for themselves, the rest in order
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -138,52 +207,75 @@ class Encoder:
         self.shown = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         names = self.tokenizer.get_vocab()
         self.ends_sentence = np.zeros(max(names.values()) + 1, bool)
         for name, i in names.items():
             self.ends_sentence[i] = name.removesuffix("</w>").endswith((".", "!", "?")) and name.endswith("</w>")
+        self.kind = np.uint16 if len(self.ends_sentence) <= 1 << 16 else np.uint32
 
     def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
-
-    def word(self, word: str) -> bytes:
-        """Tokens of one normalised word, by the library's model."""
-        got = self.words.get(word)
-        if got is None:
-            shown = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
-            got = array("H", [t.id for t in self.model.tokenize(shown)]).tobytes()
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = got
-        return got
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
-        """Tokens of a run of characters between blanks."""
+        """Tokens of a run of characters without blanks that stands between places where no token reaches over."""
         got = self.older.get(chunk)
         if got is None:
-            if chunk.isalpha() and chunk.isascii():
-                got = self.word(chunk.lower())
-            elif chunk.isascii() and chunk.isprintable():
-                got = b"".join(map(self.word, self.plain(chunk.lower())))
-            elif max(chunk) < "ɐ" and chunk.isprintable():
-                got = b"".join(map(self.word, self.pieces(self.normal(chunk))))
-            else:  # classes of other characters differ between versions of Unicode: all is left to the library
+            if _ODD.search(chunk):
                 got = self.library(chunk)
-        if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        if len(chunk) <= 64:
+            else:
+                parts = _PARTS.findall(chunk.lower())
+                if len(parts) == 1:
+                    word = parts[0] if parts[0].isascii() else "".join(map(self.shown.__getitem__, parts[0].encode()))
+                    got = np.array([t.id for t in self.model.tokenize(word)], self.kind).tobytes()
+                else:
+                    got = b"".join([self.chunk(p) if x is None else x for p, x in zip(parts, map(self.known.get, parts), strict=True)])
+        if len(chunk) <= LONGEST_REMEMBERED:
+            if len(self.known) >= REMEMBERED:
+                self.older, self.known = self.known, {}
             self.known[chunk] = got
         return got
 
-    def text(self, text: str) -> np.ndarray:
-        if any(x in text for x in self.UNSURE) or ("<|" in text and any(x in text for x in self.special)):
-            return np.frombuffer(self.library(text), np.uint16)
-        chunks = text.split()
-        got = list(map(self.known.get, chunks))
-        if None in got:
-            got = [self.chunk(c) if x is None else x for c, x in zip(chunks, got, strict=True)]
-        return np.frombuffer(b"".join(got), np.uint16)
+    def texts(self, column: pa.Array, end: int) -> Iterator[np.ndarray]:
+        """Tokens of each text, and the end token behind them. A token never reaches over a blank."""
+        for low, high in slices(column, SLICE_BYTES):
+            part = column[low:high]
+            ids, bounds = self._slice(part, end)
+            special = reduce(pc.or_, [pc.match_substring(part, s) for s in self.special], pa.array([False] * len(part)))
+            for i, whole in enumerate(special.to_pylist()):
+                if whole:
+                    yield np.append(np.frombuffer(self.library(part[i].as_py()), self.kind), self.kind(end))
+                else:
+                    yield ids[bounds[i]: bounds[i + 1]]
+
+    def _slice(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All tokens of a slice of texts, and where each text's begin."""
+        offsets, data = offsets_of(column)
+        data = data[int(offsets[0]): int(offsets[-1])]
+        offsets = offsets.astype(np.int64) - int(offsets[0])
+        inside = ~BLANK[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        opens = inside.copy()
+        opens[1:] &= ~inside[:-1] | edge[1:-1]
+        opens |= _tail(data, inside, edge)
+        starts = np.flatnonzero(opens)
+        row = np.searchsorted(offsets, starts, "right") - 1
+        kept = _LOWER[data[inside]]
+        ends = np.append(np.cumsum(inside)[starts] - 1, len(kept)).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(kept)).dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        got = [self.chunk(c) if x is None else x for c, x in zip(chunks, map(self.known.get, chunks), strict=True)]
+        tokens = np.frombuffer(b"".join(got), self.kind)
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // tokens.itemsize
+        first = np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        size = sizes[which]
+        at = np.cumsum(size) - size
+        place = np.arange(int(size.sum()))
+        out = np.full(len(place) + len(column), end, self.kind)
+        out[place + np.repeat(row, size)] = tokens[place + np.repeat(first[which] - at, size)]
+        many = np.bincount(row, size, len(column)).astype(np.int64) + 1
+        return out, np.append(0, np.cumsum(many))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -220,12 +312,12 @@ def _pack(model: str, end: int, capacity: int, with_ids: bool, planned: int) ->
             fields = list(PIECES)[: len(columns)]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=pa.schema(fields))
 
-        stop = np.array([end], np.uint16)
         for batch in batches:
-            for document, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if pieces := packer.add(document, np.concatenate([encoder.text(text.as_py() or ""), stop])):
+            documents = batch.column(0).to_pylist()
+            for document, ids in zip(documents, encoder.texts(flat(batch.column(1)), end), strict=True):
+                if pieces := packer.add(document, ids):
                     yield table(pieces)
-        if pieces := packer.plan(True):
+        if pieces := packer.finish():
             yield table(pieces)
 
     return run
@@ -241,6 +333,7 @@ def pack(
     may be short. A window's number is its partition's number times 2**40 plus its place there. A NULL text is empty: one
     piece of the end token. Every row counts, repeated rows and NULL ids too; other columns are left out.
     """
+    carry_modules(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = DIGEST + (", ids array<int>" if with_ids else "")
     return rows.mapInArrow(_pack(model, end, capacity, with_ids, planned), schema)

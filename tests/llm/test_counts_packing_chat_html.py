@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -80,9 +81,10 @@ def test_cuts_are_the_cheapest():
         places = np.cumsum([0, *gaps])
         fees = np.array([rng.choice([0, 2, 5]) for _ in places])
         cuts = packing.best_cuts(places, fees, 12)
-        assert cuts[0] == 0 and cuts[-1] == len(gaps)
-        cost = sum(12 - (places[b] - places[a]) + fees[b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
-        assert all(places[b] - places[a] <= 12 for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+        assert cuts[0] == 0 and cuts[-1] == places[-1]
+        fee = dict(zip(places.tolist(), fees.tolist(), strict=True))
+        cost = sum(12 - (b - a) + fee[b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+        assert all(b - a <= 12 for a, b in zip(cuts[:-1], cuts[1:], strict=True))
         assert cost == brute_cost(places.tolist(), fees.tolist(), 12)
 
 
@@ -125,15 +127,54 @@ def test_little_padding():
         ids = rng.integers(0, 100, rng.integers(1, 3000)).astype(np.uint16)
         total += len(ids)
         pieces += packer.add(d, ids)
-    pieces += packer.plan(True)
+    pieces += packer.finish()
     assert sum(p[2] for p in pieces) == total and packer.sequence * 4096 < 1.02 * total + 4096
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 9), min_size=1, max_size=40), max_size=30), st.integers(1, 200), st.integers(5, 30))
+def test_cuts_do_not_depend_on_when_they_are_given_out(documents, planned, capacity):
+    ends = np.zeros(10, bool)
+    ends[[0, 1]] = True
+
+    def pieces(size):
+        packer = packing.Packer(capacity, ends, size)
+        out = [p for i, d in enumerate(documents) for p in packer.add(i, np.array(d, np.uint16))] + packer.finish()
+        return [(p[0], p[1], p[2], p[3].tolist(), *p[4:]) for p in out]
+
+    whole = pieces(1 << 40)
+    assert pieces(planned) == whole
+    assert [i for p in whole for i in p[3]] == [i for d in documents for i in d]
+
+
+def test_settled_windows_leave_memory():
+    rng, ends = np.random.default_rng(3), np.zeros(100, bool)
+    packer, most = packing.Packer(4096, ends, 1 << 16), 0
+    for d in range(8000):
+        packer.add(d, rng.integers(0, 100, rng.integers(1, 800)).astype(np.uint16))
+        most = max(most, sum(len(x[1]) for x in packer.documents))
+    assert most < packer.length / 3
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_token_ids_against_the_library(seed):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    encoder, rng = packing.Encoder(public_tokenizers.path("word_bpe_49k.json")), random.Random(seed)
+    letters = "aZéÉßİıǅµªº²½×÷ÿŸĲſ'sStTllLLd.,!?-0 1\t\n\u00a0\u0085\u00ad\u1680漢字😀e\u0301\u0345\x00\x1c|<>" + "abcdefgh" * 3
+    texts = ["".join(rng.choices(letters, k=rng.randrange(30))) for _ in range(1500)]
+    texts += [f"a{chr(code)}b {chr(code)}{chr(code)} {chr(code)}'s" for code in [*range(0x250), 0x1E9E, 0x2160]]
+    texts += ["", " ", "a <|endoftext|> b<|startoftext|>", "x\x1cy <|end"]
+    for text, ids in zip(texts, encoder.texts(pa.array(texts), 2), strict=True):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], repr(text)
+
+
 TEXT = st.lists(st.sampled_from(["<", "|", "\\", "im_end|>", chat.END, chat.START, "\n", "a", "<\\|", "é"]), max_size=8).map("".join)
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.tuples(st.lists(st.sampled_from(["user", "\\", "\n", "n"]), max_size=3).map("".join), TEXT), max_size=4), st.integers(1, 7))
+@given(st.lists(st.tuples(st.lists(st.sampled_from(["user", "\\", "\n", "n", "<|", chat.START, chat.END]), max_size=3).map("".join), TEXT), max_size=4), st.integers(1, 7))
 def test_chat_round_trip(turns, step):
     written = "".join(chat.render(*t)[0] for t in turns)
     assert [(t.role, t.text) for t in chat.read(written)] == turns
@@ -153,13 +194,14 @@ def test_chat_rejects_broken_text():
 
 
 def test_conversations(spark):
-    rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (1, 1, "assistant", "b"), (None, 0, None, "x" * 100_000), (2, None, "assistant", ""), (2, 0, "user", chat.END)]
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (1, 1, "assistant", "b"), (None, 0, None, "x" * 100_000), (2, None, "assistant", ""), (2, 0, "user", chat.END),
+            (3, 0, f"a{chat.START}\\{chat.END}", chat.START)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as rendered")
     got = {r.conv_id: r for r in chat.summarize(chat.format_turns(df)).collect()}
     digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert got[1].turns_sha256 == digest("user\n\nassistant\nb\nassistant\nb\n") and got[1].loss_sha256 == digest("bb") and got[1].loss_chars == 2
     assert got[2].turns_sha256 == digest(f"assistant\n\nuser\n{chat.END}\n") and got[2].formatted_chars == len(chat.render("assistant", "")[0] + chat.render("user", chat.END)[0])
-    assert got[None].n_turns == 1 and len(got) == 3
+    assert got[None].n_turns == 1 and len(got) == 4 and got[3].formatted_chars == len(chat.render(*rows[-1][2:])[0])
     assert chat.summarize(chat.format_turns(df.limit(0))).count() == 0
 
 
