@@ -191,10 +191,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def _sample(labelled: DataFrame, texts: int) -> DataFrame:
     """About `texts` of each language's rows at most, chosen by a hash; (lang, fold, text)."""
-    share = labelled.groupBy("lang").agg((F.lit(float(texts)) / F.count(F.lit(1))).alias("share"))
+    share = F.broadcast(labelled.groupBy("lang").agg((F.lit(float(texts)) / F.count(F.lit(1))).alias("share")))  # a row a language
     drawn = F.pmod(F.xxhash64("text", "salt"), F.lit(1 << 30)) / float(1 << 30)
     fold = F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(FOLDS)).cast("int")
-    return labelled.join(share, "lang").where(drawn < F.col("share")).select("lang", fold.alias("fold"), "text")
+    return labelled.join(share, "lang").where(drawn < F.col("share")).select("lang", fold.alias("fold"), "text", "salt")
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +223,7 @@ def fit(labelled: DataFrame, *, sample_texts: int = SAMPLE_TEXTS) -> Model | Non
     of 32,768 counts for each language and the margins of a fifth of the sample, whatever the size of the table.
     """
     carry_modules(labelled.sparkSession)
-    sample = staged(_sample(labelled, sample_texts).repartition(FIT_TASKS, F.xxhash64("text")), "language-sample")
+    sample = staged(_sample(labelled, sample_texts).repartition(FIT_TASKS, F.xxhash64("text", "salt")), "language-sample")
     partial = sample.where("fold > 0").select("lang", "text").mapInArrow(_count_grams, "lang string, counts binary")
     rows = partial.groupBy("lang").applyInArrow(lambda t: _summed(t), "lang string, counts binary").collect()
     left = sample.where("fold = 0").select("lang", "text")
