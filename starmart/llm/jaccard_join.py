@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .sketch import ASKED, Sketch
-from .staging import block_of, parts, staged, text_bytes
+from .staging import block_of, carry_modules, parts, staged, text_bytes
 from .words import flat, shingle_sets
 
 SHINGLE, PERCENT = 5, 75
@@ -147,6 +147,7 @@ def document_sets(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PER
 
     Returns (dealt documents, sets); sets are a written table: doc_id, block, node (NULL without words), n_shingles, first.
     """
+    carry_modules(docs.sparkSession)
     total = text_bytes(docs)
     blocks = parts(total, block_bytes)
     sketch = Sketch.for_hashes(total // WORD_BYTES)
@@ -243,5 +244,7 @@ def jaccard_components(
     found = components(_searched(dealt, chosen, shingle, percent))
     classes = staged(nodes.join(found, nodes["doc_id"] == found["node"]).select(nodes["node"], "component"), "classes")
     whole = nodes.select("node", F.col("doc_id").alias("least")).join(classes, "node", "left")
+    # copies of one text share a node: it is looked up once for each block that holds some, and then by block
+    placed = sets.select("node", "block").distinct().join(whole, "node")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "least", "doc_id"))
-    return sets.join(whole, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"))
+    return sets.join(placed, ["node", "block"], "left").select("doc_id", "n_shingles", component.alias("component_id"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sketch import Sketch, packed, runs_of, steps, unpacked
-from .staging import block_of, parts, text_bytes
+from .staging import block_of, carry_modules, parts, text_bytes
 from .words import SECOND_BASE, Words, flat, slices
 
 WINDOW = 20
@@ -92,6 +92,7 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW, *, with_text: bool = T
 
     Documents are dealt into blocks once; all passes read that one exchange.
     """
+    carry_modules(docs.sparkSession)
     total = text_bytes(docs)
     blocks = parts(total, block_bytes)
     sketch = Sketch.for_hashes(total // WORD_BYTES, 2)

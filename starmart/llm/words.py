@@ -2,12 +2,16 @@
 
 A word is a maximal run of bytes other than the six ASCII blanks, which for UTF-8 text is the pattern
 ``[^\\x20\\x09-\\x0D]+``. Hashes are polynomials modulo 2**64 over random-looking byte values; a prefix sum over the
-column yields the hash of every span by one subtraction, so no loop runs over words.
+column yields the hash of every span by one subtraction, so no loop runs over words. Such polynomials collide on long words
+of a known pattern, so a word of more than `LONG_WORD` bytes is hashed by blake2b. A second hash of each word, from other
+byte values and another base, checks the first where runs are compared.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +19,10 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15
 RUN_BASE = 0xD1342543DE82EF95
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
+#: Of the words' second hash.
+CHECK_BASE = 0xA0761D6478BD642F
+#: The patterns that make polynomials modulo 2**64 collide need words many times as long.
+LONG_WORD = 32
 #: Bytes of text whose arrays are in memory together.
 SLICE_BYTES = 1 << 20
 
@@ -27,8 +35,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values(lower: bool) -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+def _byte_values(lower: bool, base: int = BASE) -> np.ndarray:
+    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
     if lower:
         values[ord("A"): ord("Z") + 1] = values[ord("a"): ord("z") + 1]
     return values
@@ -36,7 +44,7 @@ def _byte_values(lower: bool) -> np.ndarray:
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
-VALUES = {False: _byte_values(False), True: _byte_values(True)}
+VALUES = {(lower, base): _byte_values(lower, base) for lower in (False, True) for base in (BASE, CHECK_BASE)}
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -105,12 +113,28 @@ class Words:
         starts = np.flatnonzero(inside & ~before[:-1])
         ends = np.flatnonzero(inside & ~after[1:]) + 1
         self.first = np.searchsorted(starts, offsets)
-        up, down = powers(BASE, len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(VALUES[lower][data] * up[: len(data)], out=sums[1:])
-        self.hashes = mix((sums[ends] - sums[starts]) * down[starts])
+        self._data, self._bounds, self._lower = data, (starts, ends), lower
+        self.hashes = self._hashed(BASE, 0)
         self.count = np.diff(self.first)
 
+    def _hashed(self, base: int, half: int) -> np.ndarray:
+        """A hash of each word: a polynomial, or for long words a half of a digest."""
+        data, (starts, ends) = self._data, self._bounds
+        up, down = powers(base, len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(VALUES[self._lower, base][data] * up[: len(data)], out=sums[1:])
+        hashes = mix((sums[ends] - sums[starts]) * down[starts])
+        for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            word = data[starts[i]: ends[i]].tobytes()
+            digest = hashlib.blake2b(word.lower() if self._lower else word, digest_size=16).digest()
+            hashes[i] = int.from_bytes(digest[8 * half: 8 * half + 8], "little")
+        return hashes
+
+    @cached_property
+    def checks(self) -> np.ndarray:
+        """A second hash of each word, independent of the first."""
+        return self._hashed(CHECK_BASE, 1)
+
     def run_starts(self, length: int) -> np.ndarray:
         """Indices of the words that start a run of `length` words inside their row."""
         n = len(self.hashes)
@@ -121,11 +145,12 @@ class Words:
         return index[index + length <= last]
 
     def runs(self, starts: np.ndarray, length: int | np.ndarray, base: int = RUN_BASE) -> np.ndarray:
-        """Hash of the `length` words from each start."""
+        """Hash of the `length` words from each start; with `SECOND_BASE` one that rests on the words' second hashes."""
         n = len(self.hashes)
         up, down = powers(base, n + 1)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(mix(self.hashes ^ np.uint64(base)) * up[:n], out=sums[1:])
+        words = self.checks if base == SECOND_BASE else self.hashes
+        np.cumsum(mix(words ^ np.uint64(base)) * up[:n], out=sums[1:])
         return mix((sums[starts + length] - sums[starts]) * down[starts])
 
 

@@ -227,6 +227,31 @@ def test_leaks_edge_rows(spark, edge_docs, no_docs, monkeypatch):
     assert decontamination.without_leaks(edge_docs, items.limit(0)).count() == edge_docs.count()
 
 
+def test_colliding_words_are_told_apart(spark):
+    """Documents of different words whose polynomial hashes modulo 2**64 are equal."""
+    from test_words_and_sketch import thue_morse
+
+    pairs = [thue_morse(1024, chr(97 + i), chr(98 + i)) for i in range(20)]
+    rows = [(1, " ".join(p[0] for p in pairs)), (2, " ".join(p[1] for p in pairs)), (3, " ".join(p[0] for p in pairs))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(df).collect()} == {1: 0, 2: 0, 3: 20}
+    assert {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(df).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    """Repeated rows, NULL ids, and different texts that share an id."""
+    import corpus_pipeline
+
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    near = b + " and a little more"
+    rows = [(5, a), (5, b), (3, a), (8, near), (9, near), (9, near), (None, a), (None, None), (None, "alone here"), (7, None), (7, None)]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, df, "")
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert got == sorted([(3, a), (5, b), (None, None), (None, "alone here"), (7, None), (7, None)], key=repr)
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     import corpus_pipeline
 

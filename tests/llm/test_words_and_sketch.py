@@ -78,3 +78,18 @@ def test_sketch_never_underestimates():
         own = pa.Table.from_pandas(answers[answers.block == i].sample(frac=1, random_state=1), preserve_index=False)
         got = sketch.estimates(b, own)
         assert all(g >= true[h] for g, h in zip(got.tolist(), b.tolist(), strict=True))
+
+
+def thue_morse(n, a="a", b="b"):
+    """Two different words of n letters, n a power of 2, whose polynomial hashes modulo 2**64 are equal for n of 1024 or more."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+def test_words_that_make_polynomials_collide():
+    for n in (16, 32, 64, 1024, 2048, 4096):
+        one, other = thue_morse(n)
+        words = Words(pa.array([one, other]))
+        assert words.hashes[0] != words.hashes[1] and words.checks[0] != words.checks[1]
+    upper = Words(pa.array(["AB" * 40, "ab" * 40]), True)
+    assert upper.hashes[0] == upper.hashes[1] and upper.checks[0] == upper.checks[1]
