@@ -7,7 +7,8 @@ The grammar, with the control strings `START` and `END`:
 
 A text is first written as it is. The turn is parsed again by the deterministic parser below; if the parser finds anything
 but the source, every `<`, backslashes, `|` in it gets one backslash more and it is tried again. The parser always takes
-one backslash back, so the second try always succeeds. Line ends and backslashes in a role are escaped the same way.
+one backslash back, so the second try always succeeds. Line ends, backslashes and control strings in a role are escaped with
+backslashes too, which the parser takes back.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import carry_modules
+
 START, END = "<|im_start|>", "<|im_end|>"
 #: Role whose texts are under the loss mask.
 LEARNED = "assistant"
@@ -94,7 +97,7 @@ def render(role: str, text: str) -> tuple[str, bool]:
     """A turn that reads back as the given one, and whether its text had to be escaped."""
     name = role.replace("\\", "\\\\").replace("\n", "\\n") if "\\" in role or "\n" in role else role
     if START in name or END in name:
-        raise ValueError("a role may not hold a control string")
+        name = name.replace("<|", "<\\|")
     for tried, body in enumerate((text, escape(text))):
         out = f"{START}{name}\n{body}{END}\n"
         try:
@@ -115,6 +118,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
 
     A NULL text or role is empty. Other columns than conv_id, turn, role and text are left out; repeated rows stay.
     """
+    carry_modules(conversations.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [render(_text(r), _text(t)) for r, t in zip(batch.column(2), batch.column(3), strict=True)]
@@ -153,6 +157,7 @@ def summarize(turns: DataFrame) -> DataFrame:
     Turns are sorted by (turn, role, text), NULL first. A conversation streams through one task in that order and is never
     gathered, so one of any length needs little memory. A NULL conv_id is a conversation of its own.
     """
+    carry_modules(turns.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
