@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .staging import carry_modules
+
 #: Lines in a window. A gap of as many empty lines ends the text.
 WINDOW = 3
 #: A further stretch is kept if its heaviest window reaches this share of the heaviest one.
@@ -219,6 +221,7 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row, in one pass without a shuffle; other columns are left out."""
+    carry_modules(pages.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(h.as_py()) for h in batch.column(2)]

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .staging import carry_modules
+
 #: Expected sampled keys per range.
 SAMPLES = 16
 #: Ranges per shard, and rows that a range should hold at least and at most on average.
@@ -95,6 +97,7 @@ def shard(df: DataFrame, shards: int = 24, *, size: str = "size", major: str, mi
     about one row's bytes from the mean. Rows of equal keys are interchangeable; they get distinct slots. `df` is read
     several times: stage it if it is costly. Columns named shard and slot are replaced. An empty table gives an empty table.
     """
+    carry_modules(df.sparkSession)
     spark = df.sparkSession
     rows = df.select(
         F.coalesce(F.col(major), F.lit(_LEAST)).alias("major"), F.coalesce(F.col(minor), F.lit(_LEAST)).alias("minor"),
@@ -131,6 +134,7 @@ def shard(df: DataFrame, shards: int = 24, *, size: str = "size", major: str, mi
 
 def keyed_sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, text_hash): what sharding needs to know of each document."""
+    carry_modules(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
         F.col(doc_id).alias("doc_id"), (F.octet_length(body) + F.lit(8)).cast("long").alias("size"),
