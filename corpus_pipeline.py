@@ -20,11 +20,18 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of linked documents the one of smallest id; of rows that share an id, all."""
+    """Of each group of linked rows one, that of smallest id, NULL last.
+
+    Rows are told apart by their place, so repeated rows, rows without an id and different texts that share one are rows of
+    their own; of those with one id the first one written stays. Rows without words link with nothing and stay.
+    """
     carry_modules(spark)
-    found = jaccard_join.jaccard_components(docs)
-    copies = staged(found.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "placed")
+    found = jaccard_join.jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    named = staged(found, "components").join(rows.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
+    kept = named.groupBy("component_id").agg(first).select(F.col("first._row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
