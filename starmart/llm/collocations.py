@@ -31,13 +31,15 @@ from .words import flat, mix, offsets_of, slices
 
 DEPTH, LEAST, INSIDE_PERCENT, TOP = 3, 10, 50, 2000
 #: Bytes of text whose suffixes are counted together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of text for each word and what parts it; only the number of groups rests on it.
 WORD_BYTES = 6
 #: Suffix rows of a group on average; one with over twice as many is routed again.
-GROUP_ROWS = 500_000
+GROUP_ROWS = 250_000
 #: Groups that a message's rows are dealt to at most in one step.
 FAN = 1024
+#: Bytes of messages that are handed on together, and that a writer holds.
+MESSAGE_BYTES, ROW_GROUP = 2 << 20, 16 << 20
 #: Parts of a language whose best phrases are picked first.
 SPREAD = 64
 NO_LANG = "und"
@@ -66,20 +68,20 @@ def word_codes(column: pa.Array) -> tuple[np.ndarray, pa.StringArray, np.ndarray
     starts = np.flatnonzero(opens)
     row = np.searchsorted(offsets, starts, "right") - 1
     # words of one row with no break between them are of one piece
-    piece = np.cumsum(_BREAK[data])[starts] + row
+    piece = np.cumsum(_BREAK[data], dtype=np.int32)[starts] + row
     kept = data[inside]
-    ends = np.cumsum(inside)[starts] - 1
+    ends = np.cumsum(inside, dtype=np.int32)[starts] - 1
     bounds = np.append(ends, len(kept)).astype(np.int32)
     words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(kept)))
     coded = words.dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary, row, piece
+    return coded.indices.to_numpy(), coded.dictionary, row, piece
 
 
 def suffixes(codes: np.ndarray, piece: np.ndarray, depth: int) -> list[np.ndarray]:
     """For each word the codes of itself and the next ones of its piece, -1 beyond it."""
     out = [codes]
     for k in range(1, depth):
-        shifted = np.full(len(codes), -1, np.int64)
+        shifted = np.full(len(codes), -1, np.int32)
         if len(codes) > k:
             together = piece[k:] == piece[:-k]
             shifted[:-k][together] = codes[k:][together]
@@ -94,8 +96,11 @@ def equal_rows(columns: np.ndarray, weight: np.ndarray | None = None) -> tuple[n
         width = int(c.max(initial=0)) + 2
         if size * width >= 1 << 62:  # keep the product in 64 bits
             values, key = np.unique(key, return_inverse=True)
+            key = key.astype(np.int64)
             size = len(values)
-        key = key * width + (c + 1)
+        key *= width
+        key += c
+        key += 1
         size *= width
     if weight is None:
         _, first, total = np.unique(key, return_index=True, return_counts=True)
@@ -130,12 +135,12 @@ class Rows:
             ends = np.cumsum(unpacked(r["lengths"], r["held"], np.int32), dtype=np.int64)
             text = zstandard.ZstdDecompressor().decompress(r["words"], max_output_size=max(1, int(ends[-1])))
             lists.append(pa.LargeStringArray.from_buffers(r["held"], pa.py_buffer(np.append(0, ends)), pa.py_buffer(text)))
-            keys.append(unpacked(r["codes"], r["rows"] * (depth + 1), np.int32).reshape(depth + 1, -1).astype(np.int64) - 1)
+            keys.append(unpacked(r["codes"], r["rows"] * (depth + 1), np.int32).reshape(depth + 1, -1) - np.int32(1))
             weights.append(unpacked(r["weights"], r["rows"], np.int64))
         coded = pa.concat_arrays(lists).dictionary_encode()
-        code, low = coded.indices.to_numpy().astype(np.int64), 0
+        code, low = coded.indices.to_numpy(), 0
         for i, k in enumerate(keys):
-            keys[i] = np.where(k < 0, -1, code[low + k])
+            keys[i] = np.where(k < 0, np.int32(-1), code[low + k])
             low += len(lists[i])
         whole = np.concatenate(keys, axis=1)
         first, weight = equal_rows(whole, np.concatenate(weights))
@@ -160,14 +165,13 @@ class Rows:
         used = np.unique(keys)
         used = used[used >= 0]
         codes = np.where(keys < 0, 0, np.searchsorted(used, keys) + 1).astype(np.int32)
-        words = self.words.take(pa.array(used)).to_pylist()
-        text = [w.encode() for w in words]
+        offsets, text = offsets_of(self.words.take(pa.array(used)))
         return {
-            "held": len(text), "words": zstandard.ZstdCompressor(level=1).compress(b"".join(text)),
-            "lengths": packed(np.fromiter(map(len, text), np.int32, len(text))), "codes": packed(codes.reshape(-1)), "weights": packed(self.weight[at])}
+            "held": len(used), "words": zstandard.ZstdCompressor(level=1).compress(text[offsets[0]: offsets[-1]].tobytes()),
+            "lengths": packed(np.diff(offsets).astype(np.int32)), "codes": packed(codes.reshape(-1)), "weights": packed(self.weight[at])}
 
 
-def _tables(rows: Iterator[dict], limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def _tables(rows: Iterator[dict], limit: int = MESSAGE_BYTES) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for r in rows:
         held.append(r)
@@ -190,14 +194,15 @@ def _send(depth: int, fan: int, slice_bytes: int) -> Callable:
                 codes, words, row, piece = word_codes(texts[low:high])
                 if not len(codes):
                     continue
-                of = langs.indices.to_numpy()[low:high].astype(np.int64)[row]
-                columns = np.stack([of + len(words), *suffixes(codes, piece, depth)])
+                of = langs.indices.to_numpy()[low:high][row]
+                columns = np.stack([of + np.int32(len(words)), *suffixes(codes, piece, depth)])
                 first, weight = equal_rows(columns)
                 for i, n in enumerate(np.bincount(of, minlength=len(langs.dictionary)).tolist()):
                     if n:
                         yield {"lang": langs.dictionary[i].as_py(), "total": n}
                 part += 1
                 yield from Rows(columns[:, first], weight, pa.concat_arrays([words, langs.dictionary])).routed(1, fan, 0, part)
+            del batch, langs, texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _tables(messages(batches))
@@ -220,9 +225,11 @@ def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Reco
     for b in batches:
         held.append(b)
         size += b.nbytes
+        del b  # no batch is kept while the next one is read
         if size >= limit:
-            yield _one(held)
-            held, size = [], 0
+            whole, held, size = _one(held), [], 0
+            yield whole
+            del whole
     if held:
         yield _one(held)
 
@@ -315,7 +322,7 @@ def phrase_counts(
     digits = 1
     while fan ** digits < groups:
         digits += 1
-    sent = staged(rows.mapInArrow(_send(depth, min(fan, groups), slice_bytes), MESSAGES), "suffixes")
+    sent = staged(rows.mapInArrow(_send(depth, min(fan, groups), slice_bytes), MESSAGES), "suffixes", ROW_GROUP)
     totals = sent.where("total IS NOT NULL").groupBy("lang").agg(F.sum("total").alias("n"))
     body = ["g", "part", "rows", "held", "words", "lengths", "codes", "weights"]
     now = sent.where("total IS NULL").select(*body)
@@ -335,7 +342,7 @@ def phrase_counts(
         chunks = F.ceil(F.col("size") / group_rows)
         dealt = now.join(sizes, "g").withColumns({
             "chunk": F.pmod(F.xxhash64("part"), chunks), "fan": F.least(F.lit(fan), 2 * chunks).cast("int")}).drop("size")
-        now = staged(_dealt_again(dealt, depth, following), "suffixes").select(*body)
+        now = staged(_dealt_again(dealt, depth, following), "suffixes", ROW_GROUP).select(*body)
     count = _count(depth, least)
     counted = ready.groupBy("whole", "g").applyInArrow(lambda t: count(t), "lang string, phrase string, size int, n long")
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= least), totals

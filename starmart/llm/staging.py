@@ -35,11 +35,14 @@ def carry_modules(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write a table below the cluster's shared folder and read it back: later steps start from the files."""
+def staged(df: DataFrame, label: str, row_group: int | None = None) -> DataFrame:
+    """Write a table below the cluster's shared folder and read it back: later steps start from the files.
+
+    `row_group` bounds the bytes that a writer holds, for tables of large binary values.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", row_group) if row_group else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
