@@ -272,6 +272,13 @@ add("empty_in_empty_out", REVENUE.format(where="WHERE amount < 0"))
 # --- joins ------------------------------------------------------------------------------------------------
 add("facts_key_lookup_left", """SELECT transaction_id, c.customer_sk, p.product_sk, b.branch_sk FROM facts f
     LEFT JOIN customers c USING (customer_id) LEFT JOIN products p USING (product_id) LEFT JOIN branches b USING (branch_id)""")
+add("facts_bound_as_of", """SELECT transaction_id, (
+        SELECT arg_max(v.o_orderkey, (v.since, v.o_orderkey)) FROM (
+            SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, CASE WHEN row_number() OVER (PARTITION BY o_custkey
+                ORDER BY CAST(o_orderdate AS DATE), o_orderkey) = 1 THEN DATE '0001-01-01' ELSE CAST(o_orderdate AS DATE) END AS since
+            FROM orders) v
+        WHERE 'C' || v.o_custkey = r.customer_id AND v.since <= r.transaction_date) AS customer_sk, product_sk
+    FROM raw_keyed r""")
 add("facts_key_lookup_strict", """SELECT transaction_id, customer_sk, product_sk FROM raw_keyed
     WHERE customer_sk IS NOT NULL AND product_sk IS NOT NULL""")
 add("customers_left_facts", """SELECT c.customer_id, count(f.transaction_id) AS n, max(full_date) AS last_date FROM customers c

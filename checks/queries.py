@@ -303,6 +303,17 @@ def facts_key_lookup_left(s: Star) -> DataFrame:
     )
 
 
+@query
+def facts_bound_as_of(s: Star) -> DataFrame:
+    """Every order of a customer counts as a version of the customer, valid from the order's day."""
+    orders = s.raw("orders").select(
+        F.concat(F.lit("C"), "o_custkey").alias("customer_id"), F.to_date("o_orderdate").alias("effective_date"),
+        F.col("o_orderkey").cast("long").alias("customer_sk"))
+    versions = ordered.with_position(orders, "customer_id", ["effective_date", "customer_sk"], "version").withColumn("version", F.col("version") + 1)
+    raw = fact_ops.with_date_key(s.raw_transactions)
+    return fact_ops.lookup_keys(raw, versions, s.products, as_of_date=True).select("transaction_id", "customer_sk", "product_sk")
+
+
 @query
 def facts_key_lookup_strict(s: Star) -> DataFrame:
     return fact_ops.lookup_keys_strict(s.raw_transactions, s.customers, s.products).select(

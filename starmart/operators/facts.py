@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from starmart.contracts import FACT_TRANSACTIONS
 from starmart.functions import dates as D
 from starmart.functions.columns import any_of
+from starmart.operators import ordered
 from starmart.operators.dedup import keep_last
 
 #: A transaction without one of these is not loaded.
@@ -79,34 +80,52 @@ def current_customers(dim_customer: DataFrame) -> DataFrame:
     return dim_customer.where("is_current")
 
 
+def bind_as_of(transactions: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """Add the key of the customer version that was valid on the day of each transaction.
+
+    A version is valid from its effective date to the next one's; the first version of a customer has always been valid. A
+    transaction without a day or of an unknown customer gets NULL. See :func:`starmart.operators.ordered.as_of`.
+    """
+    since = F.when(F.col("version") == 1, F.lit("0001-01-01").cast("date")).otherwise(F.col("effective_date"))
+    versions = dim_customer.select("customer_id", since.alias("_since"), F.col("version").alias("_bound_version"), "customer_sk")
+    dated = transactions.withColumn("_day", F.to_date("transaction_date"))
+    return ordered.as_of(dated, versions, "customer_id", "_day", "_since", ["_bound_version", "customer_sk"]).drop("_day", "_bound_version")
+
+
 def lookup_keys(
-    transactions: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, dim_branch: DataFrame | None = None
+    transactions: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, dim_branch: DataFrame | None = None,
+    as_of_date: bool = False,
 ) -> DataFrame:
     """Left joins to the current dimension rows; a miss leaves the surrogate key NULL.
 
     No broadcast is forced. Spark broadcasts a dimension below ``spark.sql.autoBroadcastJoinThreshold`` and sorts
-    and merges a larger one, where adaptive execution splits the partitions of a hot key.
+    and merges a larger one, where adaptive execution splits the partitions of a hot key. With ``as_of_date`` a customer's
+    version of the transaction's day is taken in place of the current one.
     """
-    out = transactions.join(
-        current_customers(dim_customer).select("customer_id", "customer_sk"), "customer_id", "left"
-    ).join(dim_product.select("product_id", "product_sk"), "product_id", "left")
+    if as_of_date:
+        bound = bind_as_of(transactions, dim_customer)
+    else:
+        bound = transactions.join(current_customers(dim_customer).select("customer_id", "customer_sk"), "customer_id", "left")
+    out = bound.join(dim_product.select("product_id", "product_sk"), "product_id", "left")
     if dim_branch is not None:
         out = out.join(dim_branch.select("branch_id", "branch_sk"), "branch_id", "left")
     return out
 
 
 def lookup_keys_strict(
-    transactions: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, counts: DropCounts | None = None
+    transactions: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, counts: DropCounts | None = None,
+    as_of_date: bool = False,
 ) -> DataFrame:
     """Lookup of customer and product; rows that miss either are dropped (and counted)."""
-    looked_up = lookup_keys(transactions, dim_customer, dim_product)
+    looked_up = lookup_keys(transactions, dim_customer, dim_product, as_of_date=as_of_date)
     if counts:
         looked_up = counts.watch_lookup(looked_up)
     return looked_up.where("customer_sk IS NOT NULL AND product_sk IS NOT NULL")
 
 
 def transform_transactions(
-    raw: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, counts: DropCounts | None = None
+    raw: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, counts: DropCounts | None = None,
+    as_of_date: bool = False,
 ) -> DataFrame:
     """Raw transactions to facts: date key, required fields, valid dates, strict key lookup.
 
@@ -120,7 +139,7 @@ def transform_transactions(
                 "_date_ok": F.coalesce(valid_date_key(F.col("date_key")), F.lit(False)),
             })
         ).drop("_incomplete", "_date_ok")
-    return lookup_keys_strict(valid_dates(complete_rows(dated)), dim_customer, dim_product, counts)
+    return lookup_keys_strict(valid_dates(complete_rows(dated)), dim_customer, dim_product, counts, as_of_date)
 
 
 def absent_rows(

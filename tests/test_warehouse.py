@@ -271,3 +271,18 @@ def test_counts_with_an_empty_dimension(spark, database, tmp_path):
     raw = spark.sql("SELECT 'T1' transaction_id, 'C1' customer_id, 'P1' product_id, 5 amount, DATE'2024-01-01' transaction_date, 'ATM' channel")
     counts = warehouse.load_transactions(raw)
     assert counts["rows_in"] == 1 and counts["rows_out"] == 0 and counts["missing_customer"] == 1
+
+
+def test_facts_bind_to_the_version_of_their_day(spark, database):
+    warehouse = Warehouse(spark, database, as_of="2024-03-01", bind_as_of=True, customer_buckets=2).create()
+    products = spark.sql("SELECT 'P1' product_id, 'x' product_name")
+    warehouse.load_products(products)
+    warehouse.load_customers(batch_of(spark, "C1", city="old"))
+    warehouse.as_of = "2024-06-01"
+    warehouse.load_customers(batch_of(spark, "C1", city="new"))
+    raw = spark.sql("""SELECT * FROM VALUES ('T0', 'C1', DATE'2023-01-01'), ('T1', 'C1', DATE'2024-05-31'), ('T2', 'C1', DATE'2024-06-01'),
+        ('T3', 'C9', DATE'2024-06-01') t(transaction_id, customer_id, transaction_date)""").selectExpr("*", "'P1' product_id", "5 amount", "'ATM' channel")
+    counts = warehouse.load_transactions(raw)
+    assert counts["rows_out"] == 3 and counts["missing_customer"] == 1
+    bound = warehouse.table("fact_transactions").join(warehouse.table("dim_customer"), "customer_sk")
+    assert rows(bound, "transaction_id", "city") == [("T0", "old"), ("T1", "old"), ("T2", "new")]
