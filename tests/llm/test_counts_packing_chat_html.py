@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -233,3 +234,64 @@ def test_wanted_text_is_not_lost_for_being_short():
     assert plain.split("\n") == [long.strip(), "The end."]
     other = html_text.main_text(f"<body><div id=text><p>{long}</p></div><div class=advert>buy</div><div>About us</div></body>")
     assert other == long.strip()
+
+
+SENTENCE = "A sentence of the article that goes on for a while. " * 8
+
+
+@pytest.mark.parametrize("page, text", [
+    # comments and teasers are articles as well, but part of what holds them
+    ("<article><h1>T</h1><p>@</p></article><section id=comments><article class=comment><p>first</p></article></section>", "T\n@"),
+    ("<article><p>@</p></article><aside class=related><article class=teaser><h3><a>x</a></h3><p>t</p></article></aside>", "@"),
+    ("<article><p>@</p><ol class='comment-list'><li><article><p>hi</p></article></li></ol></article>", "@"),
+    ("<div id=page><div class=ad>buy<article><p>@</p></article></div>", "@"),  # one of the two was never closed
+    # a name that only holds an unwanted word decides nothing
+    ("<article><p>@</p><p class=ad-hoc>Ad hoc.</p><p class=ad-free>Free.</p><section id=social-policy><p>Policy.</p></section></article>",
+     "@\nAd hoc.\nFree.\nPolicy."),
+    ("<body class=no-sidebar><div id=page class=with-sidebar><ul><li><a>" + "m" * 900 + "</a></ul><div><p>@</p></div></div></body>", "@"),
+    ("<article><p>@</p><div class='social-extra'><a>Share it</a></div></article>", "@"),
+    ("<article><div class=header><h1>T</h1></div><p>@</p></article>", "T\n@"),
+    # surge and dive of marked content
+    ("<article><ul><li><a>1</a><li><a>2</a><li><a>3</a></ul><h1><a>T</a></h1><p>@</p><ul><li><a>4</a><li><a>5</a><li><a>6</a></ul></article>", "T\n@"),
+    ("<main><article><p>@</p><ul><li><a>1</a><li><a>2</a></ul><p>.</p></article><article><a>Another</a></article></main>", "@\n1\n2\n."),
+    ("<article><a>only</a></article>", "only"),
+    # a short end in the container of the text, behind a menu
+    ("<body><div id=text><p>@</p><nav>x</nav><p>End.</p></div><nav>y</nav><div>About us</div></body>", "@\nEnd."),
+    # paragraphs and list items need no closing tag
+    ("<article><p class=ad>buy<p>@</article>", "@"), ("<article><ul><li class=ad>buy<li>@</ul></article>", "@"),
+])
+def test_line_blocks_and_names(page, text):
+    long = SENTENCE.strip()
+    assert html_text.main_text(page.replace("@", long)) == text.replace("@", long)
+
+
+def test_generated_pages_give_back_their_article():
+    """Pages are put together from an article's lines and from what does not belong, which may stand in between."""
+    rng = random.Random(5)
+    foreign = [
+        "<nav><a href=x>Home</a><a href=y>News</a></nav>", "<div class='ad-slot'><p>Buy this.</p></div>", "<script>if (a < b) '<p>no</p>'</script>",
+        "<aside><h4>Also</h4><article><p>A teaser of some other story.</p></article></aside>", "<form><p>Your name</p><input name=n></form>",
+        "<div id='cookie-notice'>We use cookies on this site.</div>", "<!-- <p>gone</p> -->", "<style>p{}</style>",
+        "<section class='comments-area'><article class='comment odd'><p>I read this twice.</p></article></section>",
+        "<div class='share-buttons'><a>One</a><a>Two</a></div>", "<svg><text>x</text></svg>", "<p class=advertisement>Buy that.</p>",
+    ]
+    wanted = ["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<div>{}</div>", "<p class=ad-hoc>{}</p>", "<blockquote><p>{}</p></blockquote>", "<ul><li>{}</li></ul>",
+              "<p>{} </p>\n\n", "<div class='no-comments'><p>{}</p></div>", "<table><tr><td>{}</td></tr></table>"]
+    words = "sun rain &amp; wind caf&eacute; 5&lt;7 über naïve text of a long line".split()
+    for _ in range(400):
+        lines = [" ".join(rng.choices(words, k=rng.randint(1, 60))) for _ in range(rng.randint(1, 12))]
+        body = ""
+        for line in lines:
+            body += rng.choice(wanted).format(line.replace(" ", " <b>and</b> ", 1) if rng.random() < 0.3 else line)
+            body += rng.choice(foreign) if rng.random() < 0.3 else ""
+        mark = rng.choice(["article", "main"])
+        page = "".join(rng.choices(foreign, k=2)) + f"<{mark}>{body}</{mark}>" + "".join(rng.choices(foreign, k=3)) + "<footer>&copy; us</footer>"
+        want = html_text.html.unescape("\n".join(lines))
+        assert html_text.main_text(f"<html><body class='has-sidebar'>{page}</body></html>").replace(" and ", " ") == want
+
+
+def test_time_grows_with_the_page_only():
+    for part in ("<div class='x-ad'>", "<nav>", "<p class=ad>", "<li><ul>", "<a class=social-x>", "<article>", "<div>x", "</div>", "<nav>a</nav>"):
+        start = time.perf_counter()
+        html_text.main_text(part * 20_000 + "</td>" * 20_000)
+        assert time.perf_counter() - start < 5
