@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 _PICK = "_pick"
 
+#: Column to the aggregate of a group's rows and to what merges such aggregates.
+Parts = dict[str, tuple[Column, Callable[[str], Column]]]
+
 
 def _best_per_key(df: DataFrame, keys: list[str], order: Column, pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
@@ -50,7 +53,7 @@ def distinct_counts(df: DataFrame, by: str, counted: str, name: str) -> DataFram
 
 
 def grouped_with_distinct(
-    df: DataFrame, by: str, counted: str, name: str, parts: dict[str, tuple[Column, Callable[[str], Column]]]
+    df: DataFrame, by: str, counted: str, name: str, parts: Parts
 ) -> DataFrame:
     """Aggregates per key together with a distinct count, in one scan: grouped by (key, value) first, then by key.
 
@@ -61,6 +64,18 @@ def grouped_with_distinct(
     return inner.groupBy(by).agg(F.count(counted).alias(name), *[merge(c).alias(c) for c, (_, merge) in parts.items()])
 
 
+def merged(partials: DataFrame, by: list[str], merges: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """Aggregates per key from aggregates of some of its rows; columns keep their types."""
+    kinds = {f.name: f.dataType for f in partials.schema.fields}
+    return partials.groupBy(*by).agg(*[merge(c).cast(kinds[c]).alias(c) for c, merge in merges.items()])
+
+
+def merged_with_distinct(partials: DataFrame, by: str, counted: str, name: str, merges: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """:func:`grouped_with_distinct` from aggregates by key and value, of which a pair may have several."""
+    inner = merged(partials, [by, counted], merges)
+    return inner.groupBy(by).agg(F.count(counted).alias(name), *[merge(c).alias(c) for c, merge in merges.items()])
+
+
 def latest_version(dim: DataFrame, natural_key: str = "customer_id", version: str = "version") -> DataFrame:
     """The newest version of each natural key, current or not."""
     return keep_last(dim, natural_key, version)

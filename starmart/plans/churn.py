@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 from starmart.functions import dates as D
 from starmart.functions.columns import mean_of, relative_change, with_numbers_or_zero
 from starmart.operators.calendar import with_full_date
-from starmart.operators.dedup import grouped_with_distinct
+from starmart.operators.dedup import Parts, grouped_with_distinct
 from starmart.operators.facts import current_customers
 
 # --- fixed values: default thresholds ---------------------------------------------------------------------
@@ -104,15 +104,33 @@ def churn_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFram
 
     Every count and sum is taken once per transaction, and a customer without transactions has a lifetime count of 0.
     """
+    used = with_full_date(facts.select(*CHURN_INPUT), dim_date)
+    return described_churn(dim_customer, grouped_with_distinct(
+        used, "customer_sk", "product_sk", "product_count", {**lifetime_parts(), **recent_parts(as_of)}), as_of)
+
+
+#: Fact columns that the churn features read.
+CHURN_INPUT = ("customer_sk", "product_sk", "date_key", "amount", "balance_after")
+
+
+def lifetime_parts() -> Parts:
+    """The aggregates of the churn features that do not depend on the as-of day."""
+    day = F.col("full_date")
+    return {"last_transaction_date": (F.max(day), F.max), "lifetime_tx_count": (F.count(day), F.sum)}
+
+
+def recent_parts(as_of) -> Parts:
+    """Those that do; facts of more than the longest window before that day add nothing to them."""
     day = F.col("full_date")
-    used = with_full_date(facts.select("customer_sk", "product_sk", "date_key", "amount", "balance_after"), dim_date)
     lookbacks = lookback_counts(day, as_of, WINDOWS, "tx_count_last_")
-    merged = grouped_with_distinct(used, "customer_sk", "product_sk", "product_count", {
-        "last_transaction_date": (F.max(day), F.max),
-        "lifetime_tx_count": (F.count(day), F.sum),
+    return {
         **{f"tx_count_last_{w}d": (count, F.sum) for w, count in zip(WINDOWS, lookbacks, strict=True)},
         **{name: (total, F.sum) for name, total in period_sums(day, as_of).items()},
-    })
+    }
+
+
+def described_churn(dim_customer: DataFrame, merged: DataFrame, as_of=None) -> DataFrame:
+    """The churn features from the merged aggregates of each customer."""
     per_customer = merged.select("*", *_compared())
     today = D.as_of_date(as_of)
     inactive = F.datediff(today, "last_transaction_date") >= INACTIVE_DAYS

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starmart.functions import dates as D
 from starmart.functions.columns import age_group
 from starmart.operators.baskets import column_names, ownership, supported_pairs
+from starmart.operators.dedup import Parts
 from starmart.operators.facts import current_customers
 
 # --- fixed values: default thresholds ---------------------------------------------------------------------
@@ -66,9 +67,23 @@ def cross_sell_features(
     meet the products. The value lists become columns. A list that is not given is read from the data, in order; a value
     that a given list does not hold is an error when the rows are read. NULL has no column.
     """
-    used = facts.groupBy("customer_sk", "product_sk", "transaction_category", "channel").agg(
-        F.sum("amount").alias("amount"), F.count("amount").alias("_n")
-    )
+    used = facts.groupBy(*SPEND_KEYS).agg(*[first.alias(c) for c, (first, _) in spend_parts().items()])
+    return described_spend(dim_customer, used, dim_product, as_of, product_categories, transaction_categories, channels)
+
+
+#: What the spend behind the cross-sell features is summed by.
+SPEND_KEYS = ("customer_sk", "product_sk", "transaction_category", "channel")
+
+
+def spend_parts() -> Parts:
+    return {"amount": (F.sum("amount"), F.sum), "_n": (F.count("amount"), F.sum)}
+
+
+def described_spend(
+    dim_customer: DataFrame, used: DataFrame, dim_product: DataFrame, as_of=None, product_categories: Sequence[str] | None = None,
+    transaction_categories: Sequence[str] | None = None, channels: Sequence[str] | None = None,
+) -> DataFrame:
+    """The cross-sell features from the spend by customer, product, category and channel."""
     sold = used.join(dim_product.select("product_sk", "product_category"), "product_sk")
     given = {"product_category": product_categories, "transaction_category": transaction_categories, "channel": channels}
     absent = [c for c, values in given.items() if values is None]

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starmart.functions import dates as D
 from starmart.functions.columns import mean_of, with_numbers_or_zero
 from starmart.operators.calendar import with_full_date
-from starmart.operators.dedup import grouped_with_distinct
+from starmart.operators.dedup import Parts, grouped_with_distinct
 from starmart.operators.facts import current_customers
 
 #: Channels that get a transaction count of their own. Fixed values.
@@ -26,12 +26,15 @@ def channel_counts() -> list[Column]:
     return [F.count_if(F.col("channel") == c).alias(f"{c.lower()}_tx_count") for c in CHANNELS]
 
 
-def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFrame, as_of=None) -> DataFrame:
-    """Demographics, totals, spread, recency, holdings and channel use of every current customer."""
-    used = facts.select("customer_sk", "product_sk", "date_key", "transaction_type", "channel", "amount", "balance_after")
+#: Fact columns that :func:`customer_parts` reads, besides the day.
+CUSTOMER_INPUT = ("customer_sk", "product_sk", "date_key", "transaction_type", "channel", "amount", "balance_after")
+
+
+def customer_parts() -> Parts:
+    """The aggregates behind the customer features, each with what merges it over groups of rows."""
     amount = F.col("amount").cast("double")
     credits, debits = credit_debit_totals()
-    merged = grouped_with_distinct(with_full_date(used, dim_date), "customer_sk", "product_sk", "product_count", {
+    return {
         "total_transactions": (F.count(F.lit(1)), F.sum),
         "total_credits": (credits, F.sum), "total_debits": (debits, F.sum),
         "_total": (F.sum("amount"), F.sum), "_n": (F.count("amount"), F.sum),
@@ -41,7 +44,17 @@ def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataF
         "last_transaction_date": (F.max("full_date"), F.max),
         **{f"{c.lower()}_tx_count": (count, F.sum) for c, count in zip(CHANNELS, channel_counts(), strict=True)},
         "_balances": (F.sum("balance_after"), F.sum), "_balance_n": (F.count("balance_after"), F.sum),
-    })
+    }
+
+
+def customer_features(dim_customer: DataFrame, facts: DataFrame, dim_date: DataFrame, as_of=None) -> DataFrame:
+    """Demographics, totals, spread, recency, holdings and channel use of every current customer."""
+    used = with_full_date(facts.select(*CUSTOMER_INPUT), dim_date)
+    return described_customers(dim_customer, grouped_with_distinct(used, "customer_sk", "product_sk", "product_count", customer_parts()), as_of)
+
+
+def described_customers(dim_customer: DataFrame, merged: DataFrame, as_of=None) -> DataFrame:
+    """The customer features from the merged aggregates of each customer."""
     squares = F.col("_inside") + F.col("_shift") - F.pow(F.col("_total").cast("double"), 2) / F.col("_n")
     spread = F.when(F.col("_n") > 1, F.when(F.col("_low") == F.col("_high"), 0.0).otherwise(F.sqrt(F.greatest(squares, F.lit(0.0)) / (F.col("_n") - 1))))
     per_customer = merged.withColumns({

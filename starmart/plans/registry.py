@@ -40,12 +40,14 @@ FEATURE_TABLES: dict[str, Callable[[StarTables, object], DataFrame]] = {
 }
 
 
-def materialize_all(star: StarTables, database: str | None = None, as_of=None) -> list[str]:
+def materialize_all(
+    star: StarTables, database: str | None = None, as_of=None, tables: Mapping[str, Callable[[StarTables, object], DataFrame]] = FEATURE_TABLES,
+) -> list[str]:
     """Write every feature table, skip those whose result is empty, and return the names written."""
     written = []
-    for name, build in FEATURE_TABLES.items():
+    for name, build in tables.items():
         table = f"{database}.{name}" if database else name
         if publish(build(star, as_of), table, skip_empty=True):
             written.append(table)
-    log.info("materialised %d of %d feature tables", len(written), len(FEATURE_TABLES))
+    log.info("materialised %d of %d feature tables", len(written), len(tables))
     return written

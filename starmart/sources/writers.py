@@ -128,14 +128,17 @@ def bucket_count(spark: SparkSession, name: str) -> int:
     return int(found.value)
 
 
-def publish_buckets(rows: DataFrame, name: str, key: str, changed: list[int] | None = None, buckets: int = 64, keep: int = 2) -> None:
+def publish_buckets(
+    rows: DataFrame, name: str, key: str | None, changed: list[int] | None = None, buckets: int = 64, keep: int = 2, place: Column | None = None,
+) -> None:
     """Replace the ``changed`` buckets of ``name`` with ``rows``, which hold all rows of these buckets and may read ``name``.
 
     ``name`` is a view of a table whose partitions are buckets of the hash of ``key``. A new version writes the changed
     buckets only and refers to the older versions' files for all others; then the view is switched to it in one catalog
     operation, so a run that fails midway leaves the previous contents readable. Without ``changed`` everything is replaced;
     a bucket that is changed and has no rows becomes empty. The last ``keep`` versions stay readable, files that none of
-    them refers to are deleted. The first call fixes the number of buckets. A name has one writer at a time.
+    them refers to are deleted. The first call fixes the number of buckets. With ``place``, a whole number of few values such as a month, that
+    is the bucket in place of the hash. A name has one writer at a time.
     """
     spark = rows.sparkSession
     live = _live_version(spark, name)
@@ -147,7 +150,7 @@ def publish_buckets(rows: DataFrame, name: str, key: str, changed: list[int] | N
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     spark.sql(f"""CREATE TABLE {target} ({columns}, {BUCKET} INT, {WRITTEN} STRING) USING parquet PARTITIONED BY ({BUCKET}, {WRITTEN})
         LOCATION '{_folder(spark, name, tag)}' TBLPROPERTIES ('{BUCKETS}' = '{buckets}')""")
-    placed = rows.withColumns({BUCKET: bucket_of(key, buckets), WRITTEN: F.lit(tag)})
+    placed = rows.withColumns({BUCKET: bucket_of(key, buckets) if place is None else place.cast("int"), WRITTEN: F.lit(tag)})
     placed.hint("rebalance", BUCKET).write.mode("append").insertInto(target)
     if kept:
         places = " ".join(
