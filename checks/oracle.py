@@ -495,14 +495,16 @@ add("v_cross_sell_affinity", """SELECT a.product_id AS product_a_id, a.product_n
     WHERE support_a >= 0.01 OR support_b >= 0.01""")
 DESCRIBED = """c.customer_sk, c.customer_id, customer_name, gender, income_bracket, customer_segment, city, state,
     account_open_date, date_of_birth"""
-add("customer_features", f"""SELECT {DESCRIBED}, coalesce({AGE}, 0) AS age,
+FEATURES = f"""coalesce({AGE}, 0) AS age,
     round(date_diff('day', account_open_date, {TODAY}) / 30.0, 4) AS tenure_months, count(f.transaction_id) AS total_transactions,
     {CREDIT_DEBIT}, coalesce(CAST(sum(amount) AS DOUBLE) / count(amount), 0.0) AS avg_transaction_amount,
     round(coalesce(stddev_samp(CAST(amount AS DOUBLE)), 0.0), 4) AS stddev_transaction_amount,
     max(full_date) AS last_transaction_date,
     CAST(coalesce(date_diff('day', max(full_date), {TODAY}), 0) AS INTEGER) AS days_since_last_transaction,
     count(DISTINCT product_sk) AS product_count, {CHANNEL_COUNTS},
-    coalesce(CAST(sum(balance_after) AS DOUBLE) / count(balance_after), 0.0) AS avg_balance FROM {JOINED} GROUP BY ALL""")
+    coalesce(CAST(sum(balance_after) AS DOUBLE) / count(balance_after), 0.0) AS avg_balance FROM {JOINED} GROUP BY ALL"""
+add("customer_features", f"SELECT {DESCRIBED}, {FEATURES}")
+add("materialized_incremental", f"SELECT {DESCRIBED.removeprefix('c.customer_sk, ')}, {FEATURES}")
 add("churn_features", f""", s AS (
     SELECT customer_sk, max(transaction_date) AS last_date, count(*) AS n, {lookback('transaction_date', 'tx_count_last_')},
            {PERIODS}, count(DISTINCT product_sk) AS products FROM facts GROUP BY 1)

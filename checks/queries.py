@@ -782,6 +782,16 @@ def load_incremental(s: Star) -> DataFrame:
     return _bound_facts(w)
 
 
+@query
+def materialized_incremental(s: Star) -> DataFrame:
+    """Customer features kept from monthly aggregates: early transactions, then all of them."""
+    w, tables = _warehouse(s), _source_tables(s)
+    for batch in (tables["transactions"].where("transaction_date < '1999-01-01'"), tables["transactions"]):
+        w.initial_load({**tables, "transactions": batch})
+        w.materialize(incremental=True)
+    return w.table("vw_customer_features").drop("customer_sk")
+
+
 @query
 def load_stream_facts(s: Star) -> DataFrame:
     """Early transactions from files, then all of them as a stream, started twice."""
