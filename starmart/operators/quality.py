@@ -109,10 +109,13 @@ def invalid_values(df: DataFrame, column: str, valid_values: Sequence) -> DataFr
 
 
 def _in_set(df: DataFrame, column: str, valid_values: Sequence) -> Column:
-    """Whether a value is in the set, compared as the column's type. A NULL in the set stands for nothing."""
+    """Whether a value is in the set, compared as the column's type. A NULL in the set stands for nothing.
+
+    The set is a list of literals, which Spark looks up by hash when it is long.
+    """
     kind = df.schema[column].dataType
     wanted = [F.lit(v).cast("string").try_cast(kind) for v in valid_values if v is not None]
-    return F.coalesce(reduce(Column.__or__, (F.col(column) == w for w in wanted), F.lit(False)), F.lit(False))
+    return F.coalesce(F.col(column).isin(*wanted), F.lit(False)) if wanted else F.lit(False)
 
 
 def orphans(df: DataFrame, column: str, reference: DataFrame, ref_column: str) -> DataFrame:

@@ -64,8 +64,8 @@ def cross_sell_features(
 
     All pivots group by customer, so they are conditional aggregates of one grouping: one shuffle of pre-aggregated
     rows in place of a pivot and a join each. Facts are summed by customer, product, category and channel before they
-    meet the products. The value lists become columns. A list that is not given is read from the data, in order; a value
-    that a given list does not hold is an error when the rows are read. NULL has no column.
+    meet the products. The value lists become columns. A list that is not given is read from the data, in order, and there may
+    be no more values than ``spark.sql.pivotMaxValues`` allows; a value that a given list does not hold is an error when the rows are read. NULL has no column.
     """
     used = facts.groupBy(*SPEND_KEYS).agg(*[first.alias(c) for c, (first, _) in spend_parts().items()])
     return described_spend(dim_customer, used, dim_product, as_of, product_categories, transaction_categories, channels)
@@ -90,7 +90,11 @@ def described_spend(
     if absent:
         held = sold.select(*absent).distinct().select(F.explode(F.array(*(
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in absent))).alias("x"))
-        found = held.select("x.*").where("value IS NOT NULL").distinct().collect()
+        # each value becomes a column, so what reaches the driver is bounded like the values of a pivot
+        limit = int(dim_customer.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = held.select("x.*").where("value IS NOT NULL").distinct().limit(limit + 1).collect()
+        if len(found) > limit:
+            raise ValueError(f"more than {limit} values of {', '.join(absent)} (spark.sql.pivotMaxValues): give the wanted ones")
         given |= {c: sorted(r.value for r in found if r.column == c) for c in absent}
     product_categories, transaction_categories, channels = given.values()
 

@@ -176,3 +176,17 @@ def test_cross_sell_features_hold_every_value(spark):
     given = StarTables(customers, products, customers, facts, {"channels": ["POS"]})
     with pytest.raises(Exception, match="channel not among the given values: Telex"):
         FEATURE_TABLES["vw_cross_sell_features"](given, "2020-01-01").collect()
+
+
+def test_cross_sell_values_read_from_the_data_are_bounded(spark):
+    customers = spark.sql("SELECT 1L customer_sk, 'hi' income_bracket, DATE'1990-01-01' date_of_birth, true is_current")
+    products = spark.sql("SELECT id product_sk, concat('p', id) product_category FROM range(30)")
+    facts = products.selectExpr("1L customer_sk", "product_sk", "'Fee' transaction_category", "'ATM' channel", "CAST(2 AS DECIMAL(15,2)) amount")
+    star = StarTables(customers, products, customers, facts)
+    spark.conf.set("spark.sql.pivotMaxValues", "20")
+    try:
+        with pytest.raises(ValueError, match="more than 20 values"):
+            FEATURE_TABLES["vw_cross_sell_features"](star, "2020-01-01")
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+    assert FEATURE_TABLES["vw_cross_sell_features"](star, "2020-01-01").count() == 1

@@ -168,3 +168,11 @@ def test_one_unusable_check_leaves_the_others(spark):
     assert got == [("not_null", False, 1), ("regex", False, None), ("values_in_set", False, 1), ("values_in_set", False, 2)]
     values = {(r.columns, r.value) for r in quality.offending_values(df, {"values_in_set": checks["values_in_set"][0]}).collect()}
     assert values == {("v", "y")}
+
+
+def test_long_sets_are_looked_up_by_hash(spark):
+    df = spark.sql("SELECT CAST(id AS INT) AS n, CAST(id % 7 AS DOUBLE) / (id % 7 - 3) AS x FROM range(100) WHERE id % 7 <> 3")
+    found = quality.invalid_values(df, "n", [*range(0, 5000, 2), None, "no number"])
+    assert sorted(r.value for r in found.collect()) == [n for n in range(1, 100, 2) if n % 7 != 3]
+    assert "INSET" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert quality.invalid_values(df, "n", []).count() == df.count() and quality.invalid_values(df, "n", [None]).count() == df.count()
