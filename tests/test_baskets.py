@@ -190,3 +190,23 @@ def test_cross_sell_values_read_from_the_data_are_bounded(spark):
     finally:
         spark.conf.unset("spark.sql.pivotMaxValues")
     assert FEATURE_TABLES["vw_cross_sell_features"](star, "2020-01-01").count() == 1
+
+
+def test_pairs_travel_as_arrays_by_first_item(facts):
+    """No exchange holds a row for each pair, and a join by the first item finds them in place."""
+    owned = baskets.ownership(facts)
+    plan = baskets.pair_counts(owned)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(item_a#\d+L?, item_b#\d+", plan) and "REPARTITION_BY_NUM" in plan
+
+
+@pytest.mark.parametrize("chunk", [512, 3])
+def test_pairs_of_items_that_many_hold(facts, monkeypatch, chunk):
+    """Items with many owners are summed before they travel; all counts and owners stay the same."""
+    monkeypatch.setattr(baskets, "HOT_OWNERS", 12)
+    monkeypatch.setattr(baskets, "TASK_PAIRS", 50)
+    owned = baskets.ownership(facts)
+    owners = {r.product_sk: r.owners for r in baskets.owner_counts(owned).collect()}
+    assert any(n >= 12 for n in owners.values())
+    got = baskets.pair_counts(owned, chunk_items=chunk, counts=baskets.owner_counts(owned)).collect()
+    assert {(r.item_a, r.item_b): r.n_together for r in got} == brute_pairs(make_facts())
+    assert len(got) == len(brute_pairs(make_facts())) and all((r.owners_a, r.owners_b) == (owners[r.item_a], owners[r.item_b]) for r in got)
