@@ -286,3 +286,26 @@ def test_facts_bind_to_the_version_of_their_day(spark, database):
     assert counts["rows_out"] == 3 and counts["missing_customer"] == 1
     bound = warehouse.table("fact_transactions").join(warehouse.table("dim_customer"), "customer_sk")
     assert rows(bound, "transaction_id", "city") == [("T0", "old"), ("T1", "old"), ("T2", "new")]
+
+
+def test_new_facts_are_written_once_before_they_are_appended(spark, warehouse, files, monkeypatch):
+    """Facts of which none is stored get their keys in the copy they already have, and facts that are all stored none;
+    rows that fall out, be it for want of an id, leave no gap in the keys."""
+    from starmart.operators import keys
+
+    copies = []
+    plain = keys.staged
+    monkeypatch.setattr(keys, "staged", lambda df, label: copies.append("transaction_id" in df.columns) or plain(df, label))
+    warehouse.full_load(files["transactions"], files["customers"], files["products"])
+    first = warehouse.table("fact_transactions").drop("transaction_sk", "date_month")
+    batch = spark.createDataFrame(first.collect(), first.schema)
+    warehouse.load_facts(batch.withColumn("transaction_id", F.concat("transaction_id", F.lit("new"))))
+    warehouse.load_facts(batch)
+    assert not any(copies)
+    some = F.when(F.col("transaction_id") == "T1", F.lit(None).cast("string")).otherwise(F.concat("transaction_id", F.lit("last")))
+    warehouse.load_facts(batch.withColumn("transaction_id", some))
+    warehouse.load_facts(batch.withColumn("transaction_id", F.regexp_replace("transaction_id", "T1", "T10")))
+    got = rows(warehouse.table("fact_transactions"), "transaction_sk", "transaction_id")
+    assert [k for k, _ in got] == [1, 2, 3, 4, 5, 6]
+    assert sorted(i for _, i in got) == ["T1", "T10", "T1new", "T2", "T2last", "T2new"]
+    assert warehouse.table("rejected_rows").where("table_name = 'fact_transactions'").count() == 1
