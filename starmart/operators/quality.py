@@ -1,8 +1,9 @@
 """Declarative data-quality checks that run as Spark aggregations.
 
 All checks of a table that need no grouping (NULLs, ranges, patterns, formats, freshness) share one scan and one
-aggregate. Uniqueness, value sets and references each group by value first, so a value with a third of all rows is
-combined on the map side. Results are DataFrames of one row per check; lists of offending values are DataFrames of
+aggregate. Uniqueness is the rows of that aggregate less the distinct values, so whatever only adds rows or other columns,
+such as a lookup, is not worked out for the values again. Value sets and references each group by value first, so a value with a
+third of all rows is combined on the map side. Results are DataFrames of one row per check; lists of offending values are DataFrames of
 their own (:func:`invalid_values`, :func:`orphans`) and are never gathered into one row.
 """
 
@@ -65,6 +66,8 @@ class _Scalar:
     aggregates: dict[str, Column]
     #: Builders of the result fields; each gets the number under which the aggregates are named.
     result: dict[str, Callable[[int], Column]]
+    #: One row of one number that is taken off the aggregate ``n``.
+    less: DataFrame | None = None
 
 
 # --- single checks: column expressions --------------------------------------------------------------------
@@ -94,12 +97,9 @@ def unparseable_count(column: str, strptime_format: str) -> Column:
 
 # --- single checks: grouped -------------------------------------------------------------------------------
 
-def duplicate_count(df: DataFrame, column: str) -> DataFrame:
-    """One row: rows beyond the first of each value, NULL being one value. Always exact."""
-    return (
-        df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("violations"))
-    )
+def distinct_count(df: DataFrame, column: str) -> DataFrame:
+    """One row: distinct values, NULL being one value. Always exact; Spark leaves out left joins that only add other columns."""
+    return df.groupBy(column).count().agg(F.count(F.lit(1)).alias("n"))
 
 
 def invalid_values(df: DataFrame, column: str, valid_values: Sequence) -> DataFrame:
@@ -186,7 +186,11 @@ def _scalar_results(df: DataFrame, scalars: list[_Scalar]) -> DataFrame:
         )
         for i, s in enumerate(scalars)
     ]
-    return df.agg(*named).select(F.inline(F.array(*rows))).toDF(*_COLUMNS)
+    counted = df.agg(*named)
+    for i, s in enumerate(scalars):
+        if s.less is not None:
+            counted = counted.withColumn(f"{i}_n", F.col(f"{i}_n") - s.less.scalar())
+    return counted.select(F.inline(F.array(*rows))).toDF(*_COLUMNS)
 
 
 def _missing(check_type: str, column: str) -> list[tuple]:
@@ -198,7 +202,9 @@ def _details(**values: Column) -> Column:
     return F.create_map(*pairs)
 
 
-def _counting(check_type: str, column: str, count: Column, detail: str, argument: str = "", **extra: str) -> _Scalar:
+def _counting(
+    check_type: str, column: str, count: Column, detail: str, argument: str = "", less: DataFrame | None = None, **extra: str
+) -> _Scalar:
     message = MESSAGES[check_type].format(argument)
 
     def violations(i):
@@ -214,6 +220,7 @@ def _counting(check_type: str, column: str, count: Column, detail: str, argument
                 **{detail: violations(i)}, **{k: F.lit(v) for k, v in extra.items()}
             ),
         },
+        less,
     )
 
 
@@ -250,7 +257,7 @@ def _not_null(df, column):
 
 
 def _unique(df, column):
-    return _counted_row("unique", column, duplicate_count(df, column), "duplicate_count")
+    return _counting("unique", column, F.count(F.lit(1)), "duplicate_count", less=distinct_count(df, column))
 
 
 def _values_in_set(df, column, valid_values, as_of=None):

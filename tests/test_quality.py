@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from starmart import contracts
-from starmart.operators import quality
+from starmart.operators import facts as fact_ops, quality
 
 AT = "2024-05-31 12:00:00"
 
@@ -38,6 +38,26 @@ def test_unique_counts_null_as_a_value(df):
     assert only(run(df, unique={"columns": ["n"]})).passed
 
 
+def test_unique_is_counted_without_the_lookups_and_in_the_scan_of_the_scalar_checks(spark):
+    facts = spark.createDataFrame([("t1", "C1", "P1"), ("t2", "C2", "P9"), ("t2", None, "P1"), (None, "C1", None), (None, "C9", "P1")],
+                                  "transaction_id string, customer_id string, product_id string")
+    customers = spark.createDataFrame([("C1", 1, True), ("C1", 2, True), ("C2", 3, True)], "customer_id string, customer_sk long, is_current boolean")
+    products = spark.createDataFrame([("P1", 1)], "product_id string, product_sk long")
+    keyed = fact_ops.lookup_keys(facts, customers, products)  # C1 is there twice: 7 rows, of which 3 have an id of their own
+    results = quality.run_checks(keyed, {"unique": {"columns": ["transaction_id", "customer_sk"]}, "not_null": {"columns": ["product_sk"]}})
+    assert {(r.check_type, r.columns): r.violations for r in results.collect()} == {
+        ("unique", "transaction_id"): 4, ("unique", "customer_sk"): 3, ("not_null", "product_sk"): 3,
+    }
+    assert quality.run_checks(keyed.limit(0), {"unique": {"columns": ["transaction_id"]}}).first().violations == 0
+    one = quality.run_checks(keyed, {"unique": {"columns": ["transaction_id"]}, "not_null": {"columns": ["product_sk"]}})
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
+
+
+def test_unique_takes_maps(spark):
+    df = spark.sql("SELECT * FROM VALUES (map(1, 2)), (map(1, 2)), (map(2, 1)), (NULL) t(m)")
+    assert only(run(df, unique={"columns": ["m"]})).violations == 1
+
+
 def test_values_in_set(df):
     r = only(run(df, values_in_set={"column": "risk", "valid_values": ["low"]}))
     assert (r.passed, r.violations) == (False, 2)
