@@ -147,21 +147,27 @@ def known_keys(batch: DataFrame, stored: DataFrame, on: list[str]) -> DataFrame:
     return stored.select(*on).join(batch.select(*on), on, "left_semi")
 
 
+def _broadcastable(df: DataFrame) -> bool:
+    """Whether Spark's own estimate of the size is within ``spark.sql.autoBroadcastJoinThreshold``."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def absent_rows(
     batch: DataFrame, stored: DataFrame, key: str, dedup_batch: bool = False, fixed_columns: tuple[str, ...] = ()
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet.
 
-    The stored side is first cut to the keys of the batch with a semi join. A batch small enough for Spark to
-    broadcast then filters the stored keys in their scan, and the large table is never shuffled; a larger batch
-    meets it in a shuffled semi join on the key column alone. Copies of one key inside the batch all pass unless
-    ``dedup_batch`` is set. A NULL key never counts as stored.
+    A batch small enough for Spark to broadcast first cuts the stored side to its keys with a semi join: it filters the
+    stored keys in their scan, and the large table is never shuffled. A larger batch meets the stored keys as they are, since
+    to cut them would work out and shuffle its keys a second time and save nothing. Copies of one key inside the batch all
+    pass unless ``dedup_batch`` is set. A NULL key never counts as stored.
 
     ``fixed_columns`` names columns that always have the same value for a key, such as the month of a transaction.
     They join the key, and where the stored table is partitioned by them only the batch's partitions are read.
     """
     on = [key, *fixed_columns]
-    known = known_keys(batch, stored, on)
+    known = known_keys(batch, stored, on) if _broadcastable(batch.select(*on)) else stored.select(*on)
     fresh = batch.join(known, on, "left_anti")
     if not dedup_batch:
         return fresh

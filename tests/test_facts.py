@@ -67,6 +67,22 @@ def test_large_stored_side_is_filtered_by_a_broadcast_batch(spark):
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
 
 
+def test_a_large_batch_is_worked_out_once(spark):
+    """A batch too large to broadcast meets the stored keys as they are, with the rows that the semi join gave."""
+    batch = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", 1), (None, 1)], "id string, n int")
+    stored = spark.createDataFrame([("a", 1), ("a", 9), ("z", 1), (None, 1)], "id string, n int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for fixed, wanted in ((), [("", 1), ("b", 1), ("b", 1)]), (("n",), [("", 1), ("a", 2), ("b", 1), ("b", 1)]):
+            fresh = facts.absent_rows(batch, stored, "id", fixed_columns=fixed)
+            assert sorted((r.id or "", r.n) for r in fresh.collect()) == wanted
+            plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("Join") == 1 and "LeftSemi" not in plan
+        assert facts.absent_rows(batch, stored, "id", dedup_batch=True).count() == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_fact_columns_keep_only_declared_ones(spark):
     df = spark.sql("SELECT 1 AS amount, 2 AS other, 'x' AS transaction_id")
     assert facts.fact_columns(df).columns == ["transaction_id", "amount"]
