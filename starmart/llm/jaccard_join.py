@@ -6,8 +6,8 @@ one that occurs in a single set cannot be shared. Sets that have such a shingle
 searched together:
 
 Their inverted lists are searched with DivideSkip. A query's lists are divided into the longest few and the rest; the
-short lists are merged with a heap, which leaves the sets that occur often enough there, and these are looked up in the
-long lists by binary search. Sets that reach the overlap are links.
+short lists are merged by sorting, which leaves the sets that occur often enough there, and these are looked up in the
+long lists by binary search, all at once while they are many. Sets that reach the overlap are links.
 
 The distance 1 - similarity is a metric, so not every pair has to be tried. Only pivots are indexed; a set that links with
 a pivot becomes its member. A later set can link with a member only if it is near enough to the pivot, and it is compared
@@ -18,10 +18,9 @@ each copy, and still no link between different sets that connects anything is mi
 from __future__ import annotations
 
 import hashlib
-import heapq
 import math
+from array import array
 from bisect import bisect_left
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,11 @@ SHINGLE, PERCENT = 5, 75
 BLOCK_BYTES = 8 << 20
 WORD_BYTES = 5
 #: Shingles that are searched together in one task; a larger family is searched in pairs of slices of half as many.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
+#: Sets times shingles of a family that one task searches, as each set may meet the lists of all; beyond that slices are smaller.
+SEARCHED = 1_000_000_000
+#: Sets that are looked up one by one.
+FEW = 12
 #: DivideSkip's weight of the longest list when dividing.
 MU = 0.01
 SETS = "doc_id long, block int, node binary, n_shingles long, first array<bigint>"
@@ -52,31 +55,46 @@ class Lists:
     """Inverted lists of sets, searched with DivideSkip."""
 
     def __init__(self) -> None:
-        self.lists: dict[int, list[int]] = {}
+        self.lists: dict[int, array] = {}
 
     def add(self, number: int, elements: list[int]) -> None:
         """Add a set; numbers must grow, so that lists stay sorted."""
         for e in elements:
-            self.lists.setdefault(e, []).append(number)
+            if (one := self.lists.get(e)) is None:
+                self.lists[e] = one = array("i")
+            one.append(number)
 
     def search(self, elements: list[int], least: int) -> dict[int, int]:
         """Sets that share at least `least` elements with the query, and how many."""
-        found = [x for x in map(self.lists.get, elements) if x]
+        found = [x for x in map(self.lists.get, elements) if x is not None]
         if len(found) < least:
             return {}
         found.sort(key=len, reverse=True)
         long = min(least - 1, int(least / (MU * math.log2(max(2, len(found[0]))) + 1)))
         # a set that reaches `least` is at least so often in the lists that are not long
         often = least - long
-        hits = {}
-        for number, copies in groupby(heapq.merge(*found[long:])):
-            times = sum(1 for _ in copies)
-            if times >= often:
-                hits[number] = times
+        merged = np.sort(np.concatenate([np.frombuffer(x, np.int32) for x in found[long:]]))
+        bounds = np.append(np.flatnonzero(np.diff(merged, prepend=-1)), len(merged))
+        numbers, times = merged[bounds[:-1]], np.diff(bounds)
+        enough = times >= often
+        numbers, times = numbers[enough], times[enough]
+        for i, one in enumerate(found[:long]):
+            hopeful = times + (long - i) >= least
+            numbers, times = numbers[hopeful], times[hopeful]
+            if len(numbers) <= FEW:
+                return self._looked_up(found[i:long], numbers.tolist(), times.tolist(), least)
+            held = np.frombuffer(one, np.int32)
+            times = times + (held[np.minimum(np.searchsorted(held, numbers), len(held) - 1)] == numbers)
+        reached = times >= least
+        return dict(zip(numbers[reached].tolist(), times[reached].tolist(), strict=True))
+
+    @staticmethod
+    def _looked_up(long: list[array], numbers: list[int], counts: list[int], least: int) -> dict[int, int]:
+        """The few sets that are left, one by one in the long lists that are left."""
         out = {}
-        for number, times in hits.items():
-            for i, one in enumerate(found[:long]):
-                if times + long - i < least:
+        for number, times in zip(numbers, counts, strict=True):
+            for i, one in enumerate(long):
+                if times + len(long) - i < least:
                     break
                 at = bisect_left(one, number)
                 times += at < len(one) and one[at] == number
@@ -213,6 +231,7 @@ def _searched(dealt: DataFrame, chosen: DataFrame, shingle: int, percent: int) -
 
 def jaccard_components(
     docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, block_bytes: int = BLOCK_BYTES, together: int = TOGETHER,
+    searched: int = SEARCHED,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row.
 
@@ -232,9 +251,12 @@ def jaccard_components(
     near = components(postings.join(roots, "shingle").where("doc_id <> root").select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
     near = staged(near, "near")
     family = near.join(nodes, near["node"] == nodes["doc_id"]).select("component", nodes["node"], "doc_id", "block", "n")
-    sizes = staged(family.groupBy("component").agg(F.sum("n").alias("size")), "family-sizes")
+    sizes = staged(family.groupBy("component").agg(F.sum("n").alias("size"), F.count("*").alias("held")), "family-sizes")
     tasks = parts(sizes.agg(F.sum("size").alias("s")).first()["s"] or 0, together)
-    slices = F.when(F.col("size") <= together, 1).otherwise(F.ceil(F.col("size") * 2 / together)).cast("int")
+    # two slices of a family of which each is 1 / slices hold 2 / slices of its sets and of its shingles
+    work = F.col("held").cast("double") * F.col("size")
+    slices = F.when((F.col("size") <= together) & (work <= searched), 1).otherwise(
+        F.greatest(F.ceil(F.col("size") * 2 / together), F.ceil(F.sqrt(work / searched) * 2))).cast("int")
     placed = family.join(sizes, "component").withColumn("slices", slices).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))

@@ -110,6 +110,43 @@ def test_components_against_brute_force(spark, block, together):
     assert got == brute_components(rows)
 
 
+def test_a_family_of_many_sets_is_searched_in_bounded_tasks(spark, monkeypatch):
+    """A family small enough in shingles but of many sets: no task gets more sets times shingles than asked for."""
+    rng = random.Random(5)
+    texts = [t for _ in range(3) for t in family(rng, 40)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tasks, search = [], jaccard_join._searched
+
+    def watched(dealt, chosen, *more):
+        tasks.extend(chosen.select("doc_id", "task").collect())
+        return search(dealt, chosen, *more)
+
+    monkeypatch.setattr(jaccard_join, "_searched", watched)
+    most = 2000
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, searched=most).collect()}
+    want = brute_components(rows)
+    assert got == want
+    held = defaultdict(list)
+    for t in tasks:
+        held[t.task].append(want[t.doc_id][0])
+    assert len(held) > 3 and max(len(n) * sum(n) for n in held.values()) < 6 * most  # slices are dealt by hash
+
+
+def test_divide_skip_keeps_few_and_many_candidates():
+    """Long lists that many sets share, so that candidates are looked up together, then one by one."""
+    rng = random.Random(13)
+    for sets_held in (5, 300):
+        lists, sets = jaccard_join.Lists(), []
+        for i in range(sets_held):
+            sets.append(sorted(rng.sample(range(120), rng.randint(60, 110))))
+            lists.add(i, sets[-1])
+        for least in (20, 50, 70):
+            query = sorted(rng.sample(range(150), 90))
+            want = {i: n for i, s in enumerate(sets) if (n := len(set(s) & set(query))) >= least}
+            assert lists.search(query, least) == want
+
+
 def test_links_connect_what_brute_force_connects():
     rng = random.Random(11)
     for _ in range(150):
