@@ -210,3 +210,52 @@ def test_pairs_of_items_that_many_hold(facts, monkeypatch, chunk):
     got = baskets.pair_counts(owned, chunk_items=chunk, counts=baskets.owner_counts(owned)).collect()
     assert {(r.item_a, r.item_b): r.n_together for r in got} == brute_pairs(make_facts())
     assert len(got) == len(brute_pairs(make_facts())) and all((r.owners_a, r.owners_b) == (owners[r.item_a], owners[r.item_b]) for r in got)
+
+
+@pytest.mark.parametrize("shift", [0, 5, 1 << 40, -(1 << 40)])
+def test_pairs_travel_in_as_few_bytes_as_all_items_need(spark, shift):
+    """Items beyond an int and owners beyond a byte are counted like small ones, and small ones travel as ints and bytes."""
+    rows = [(c, p + shift) for c in range(300) for p in {0, 1, c % 7 + 2}]
+    owned = spark.createDataFrame(rows, "customer_sk long, product_sk long")
+    counts = baskets.owner_counts(owned)
+    owners = {r.product_sk: r.owners for r in counts.collect()}
+    pairs = baskets.pair_counts(owned, counts=counts)
+    got = {(r.item_a, r.item_b): (r.n_together, r.owners_a, r.owners_b) for r in pairs.collect()}
+    assert got == {p: (n, owners[p[0]], owners[p[1]]) for p, n in brute_pairs(rows).items()}
+    assert dict(pairs.dtypes) == {"item_a": "bigint", "item_b": "bigint", "n_together": "bigint", "owners_a": "bigint", "owners_b": "bigint"}
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert ("as array<int>" in plan) == (abs(shift) < 1 << 31) and "as array<smallint>" in plan
+    assert "rest_owners" not in baskets.pair_counts(owned)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_narrow_type():
+    assert baskets.narrow_type("bigint", 0, 127) == "tinyint" and baskets.narrow_type("bigint", -129, 5) == "smallint"
+    assert baskets.narrow_type("bigint", 0, 1 << 31) == "bigint" and baskets.narrow_type("bigint", 0, 9, among=("int",)) == "int"
+    assert baskets.narrow_type("int", 0, 1 << 20, among=("int",)) == "int" and baskets.narrow_type("string", None, None) == "string"
+    assert baskets.narrow_type("bigint", None, None) == "bigint"
+
+
+@pytest.mark.parametrize("shift", [0, 1 << 40])
+def test_descriptions_move_once_for_the_pairs_of_a_task(spark, facts, shift):
+    """The same rows as two plain joins, where items have no description or two of them, and pairs move packed in arrays."""
+    owned = baskets.ownership(facts.withColumn("product_sk", F.col("product_sk") + shift))
+    counts = baskets.owner_counts(owned)
+    pairs = baskets.pair_counts(owned, counts=counts)
+    named = [(p + shift, f"n{p}") for p in range(11)] + [(3 + shift, "again"), (40 + shift, None)]
+    described = spark.createDataFrame(named, "product_sk long, name string")
+    names = {}
+    for p, n in named:
+        names.setdefault(p, []).append(n)
+    want = sorted((r.item_a, r.item_b, r.n_together, r.owners_a, r.owners_b, a, b) for r in pairs.collect()
+                  for a in names.get(r.item_a, []) for b in names.get(r.item_b, []))
+    columns = ["item_a", "item_b", "n_together", "owners_a", "owners_b", "name_a", "name_b"]
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            out = baskets.described_pairs(pairs, described, ["name"], 40)
+            assert sorted(tuple(r) for r in out.select(*columns).collect()) == want
+            plan = out._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    last = plan[plan.rindex("ShuffledHashJoin [_place"):]
+    assert last.count("direct_shuffle_partition_id(_place") == 2 and not re.search(r"Exchange hashpartitioning\([^()]*_place", plan)
