@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starmart.operators import scd2
 from starmart.operators.quality import QualityGateError
 from starmart.plans.warehouse import DEFAULT_CONFIG, Warehouse
+from starmart.session import FREE_SHUFFLES_CONF, scratch_root, shuffles_freed, staged
 from starmart.streaming.incremental import load_stream, transaction_stream
 
 AS_OF = "2024-05-01 10:00:00"
@@ -309,3 +310,53 @@ def test_new_facts_are_written_once_before_they_are_appended(spark, warehouse, f
     assert [k for k, _ in got] == [1, 2, 3, 4, 5, 6]
     assert sorted(i for _, i in got) == ["T1", "T10", "T1new", "T2", "T2last", "T2new"]
     assert warehouse.table("rejected_rows").where("table_name = 'fact_transactions'").count() == 1
+
+
+@pytest.fixture
+def copies(spark):
+    """The copies that a test leaves in the scratch folder, as their columns."""
+    def named():
+        root = Path(scratch_root(spark).removeprefix("file:"))
+        return set(root.iterdir()) if root.exists() else set()
+
+    before = named()
+    return lambda: [set(spark.read.parquet(str(p)).columns) for p in named() - before]
+
+
+def test_copies_of_a_batch_go_with_the_load(spark, warehouse, files, copies, tmp_path):
+    """The written copies of the facts are deleted, also where rows fall out and are written again, and where the load fails."""
+    warehouse.full_load(files["transactions"], files["customers"], files["products"])
+    later = write(tmp_path / "t2.csv", "transaction_id,customer_id,product_id,transaction_date,amount",
+                  "T2,C2,P1,2024-04-01,99.00", "T5,C2,P1,2024-04-02,5.00")
+    for _ in range(2):  # the second time all are stored
+        warehouse.incremental_load(later, files["customers"])
+    assert rows(warehouse.table("fact_transactions"), "transaction_id") == [("T1",), ("T2",), ("T5",)]
+    bad = warehouse.table("fact_transactions").withColumn("transaction_id", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        warehouse.load_facts(bad)
+    assert not [columns for columns in copies() if "transaction_id" in columns]
+
+
+def test_shuffle_files_go_when_a_write_ends(spark, tmp_path):
+    held = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    rows_of = lambda: spark.range(10_000).repartition(7, "id")
+    before = held()
+    copy = staged(rows_of(), "x")
+    assert copy.count() == 10_000 and spark.conf.get(FREE_SHUFFLES_CONF) == "false"
+    freed = held()
+    rows_of().write.parquet(f"{tmp_path}/kept")
+    assert held() - freed > freed - before
+    with pytest.raises(ZeroDivisionError), shuffles_freed(spark):
+        assert spark.conf.get(FREE_SHUFFLES_CONF) == "true"
+        raise ZeroDivisionError
+    assert spark.conf.get(FREE_SHUFFLES_CONF) == "false"
+
+
+def test_keys_of_a_batch_are_counted_once_and_not_written(spark, warehouse, copies):
+    """All stored, none stored, some stored: the stored keys are not copied."""
+    facts = lambda *ids: spark.createDataFrame([(i, 20240401, 1, 1) for i in ids], "transaction_id string, date_key int, customer_sk long, product_sk long")
+    for batch in (("a", "b", "b"), ("c",), ("a", "b"), ("c", "d", "d"), ("d",)):
+        warehouse.load_facts(facts(*batch))
+    got = rows(warehouse.table("fact_transactions"), "transaction_id", "transaction_sk")
+    assert [g[0] for g in got] == ["a", "b", "b", "c", "d", "d"] and sorted(g[1] for g in got) == [1, 2, 3, 4, 5, 6]
+    assert copies() == []
